@@ -1,8 +1,9 @@
 """Global positions in a sort order without a single-partition window.
 
 A global ``row_number() over (order by k)`` moves every row into one task. Here the rows are
-range-partitioned on the order key (Spark samples the bounds), sorted inside each partition, and tagged
-with their partition and in-partition position. That table is written once to the shared folder, so
+range-partitioned on the order key plus a unique row tag (Spark samples the bounds; the tag spreads a value
+shared by a third of the rows over many partitions instead of one), sorted inside each partition, and
+tagged with their partition and in-partition position. That table is written once to the shared folder, so
 every later reader sees the same partition layout even if the sample or a task is re-run. Per-partition
 counts (one row per partition, a proven bound) give each partition its offset.
 """
@@ -20,11 +21,14 @@ def global_positions(df: DataFrame, order_cols: list[str], pos_col: str = "pos")
     spark = df.sparkSession
     n = shuffle_partitions(spark)
     cols = list(df.columns)
+    keys = [*order_cols, "_tie"]
     tagged = (
-        df.repartitionByRange(n, *order_cols)
-        .sortWithinPartitions(*order_cols)
+        df.withColumn("_tie", F.monotonically_increasing_id())
+        .repartitionByRange(n, *keys)
+        .sortWithinPartitions(*keys)
         .withColumn("_pid", F.spark_partition_id())
         .withColumn("_mid", F.monotonically_increasing_id())
+        .drop("_tie")
     )
     tagged = materialize(tagged, "positions")
     counts = tagged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"), F.min("_mid").alias("_first"))
