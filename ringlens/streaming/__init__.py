@@ -1,0 +1,3 @@
+from ringlens.streaming.edges import canonical_pair_stream, read_ingested_pairs, start_pair_ingest
+
+__all__ = ["canonical_pair_stream", "read_ingested_pairs", "start_pair_ingest"]
