@@ -96,7 +96,14 @@ def run_pipeline(
     out: dict[str, DataFrame] = {}
     if cfg.use_heat_kernel:
         heat = H.apply_heat_kernel(edges, cfg.heat)
-        out.update({"heat_history": heat["history"], "heat_frames": heat["frames"], "node_risk": heat["node_risk"]})
+        out.update(
+            {
+                "heat_history": heat["history"],
+                "heat_frames": heat["frames"],
+                "node_risk": heat["node_risk"],
+                "heat_metadata": heat["metadata"],
+            }
+        )
         edges = materialize(heat["edges"], "annealed-edges")
     out["edges"] = edges
     out.update(analyze_edges(edges, cfg.cluster, clusterer))
