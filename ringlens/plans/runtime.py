@@ -13,6 +13,23 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 _LOCAL_DIRS: dict[int, str] = {}
+_WRITTEN: dict[int, list[str]] = {}
+
+# Session settings for large inputs (pass to spark-submit; the library never sets them itself).
+# Partitions target ~256 MB after AQE coalescing; a skewed partition (5x the median and > 256 MB) is split;
+# scans read 512 MB per task so 100 TB is ~200k tasks instead of 800k; Kryo serves the RDD-based MLlib PIC.
+RECOMMENDED_CONF = {
+    "spark.sql.adaptive.enabled": "true",
+    "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+    "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "100000",
+    "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "256m",
+    "spark.sql.files.maxPartitionBytes": "512m",
+    "spark.sql.autoBroadcastJoinThreshold": "64m",
+    "spark.serializer": "org.apache.spark.serializer.KryoSerializer",
+}
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -53,9 +70,21 @@ def materialize(df: DataFrame, name: str = "table") -> DataFrame:
     spark = df.sparkSession
     path = scratch_path(spark, name)
     df.write.mode("errorifexists").parquet(path)
+    _WRITTEN.setdefault(id(spark.sparkContext), []).append(path)
     return spark.read.parquet(path)
 
 
+def release_scratch(spark: SparkSession) -> int:
+    """Delete the tables this session materialised (call when their readers are done); returns how many."""
+    paths = _WRITTEN.pop(id(spark.sparkContext), [])
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    for p in paths:
+        hp = jvm.org.apache.hadoop.fs.Path(p)
+        hp.getFileSystem(conf).delete(hp, True)
+    return len(paths)
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     value = spark.conf.get("spark.sql.shuffle.partitions", "200")
     try:

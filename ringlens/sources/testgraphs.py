@@ -7,7 +7,6 @@
   inside an order (quadratic in a hot order), each line links its supplier (part) to the order's anchor,
   the smallest supplier (part) key of the order: one edge per line item, a star per order. The anchor
   comes from a partial+final aggregate and is joined back on the order key (AQE splits a hot order).
-* ``co_activity``: users with the same event type in the same hour, as a star on the hour's smallest user.
 
 Labels of supplier edges follow the endpoint-class rule with supplier classes from the account balance.
 """
@@ -104,21 +103,6 @@ def co_purchase(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def co_activity(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Raw user edges ``src, dst long, weight double, ts timestamp_ntz, true_label string``."""
-    ev = load_table(spark, sf_dir, "events").select(
-        "user_id", "event_type", "value", "ts", F.date_trunc("hour", "ts").alias("hour")
-    )
-    anchor = ev.groupBy("event_type", "hour").agg(F.min("user_id").alias("anchor"))
-    return ev.join(anchor, ["event_type", "hour"], "inner").select(
-        F.col("anchor").alias("src"),
-        F.col("user_id").alias("dst"),
-        F.col("value").alias("weight"),
-        F.col("ts"),
-        F.lit(UNKNOWN_LABEL).alias("true_label"),
-    )
-
-
 def supplier_nation_assignments(spark: SparkSession, sf_dir: str, edges: DataFrame) -> DataFrame:
     """A given clustering for oracle tests: every supplier node of ``edges`` in the cluster of its nation
     (``id, cluster``), so no clustering output enters the check of the cluster operators."""
