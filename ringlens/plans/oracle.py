@@ -162,7 +162,7 @@ prf1 AS (
 
 
 METRIC_COLS = [
-    ("cluster", None), ("n_nodes", None), ("n_edges", None), ("total_volume", 4), ("avg_weight", 6),
+    ("cluster", None), ("n_nodes", None), ("n_edges", None), ("total_volume", 4), ("avg_weight", 4),
     ("std_weight", 4), ("min_weight", 6), ("max_weight", 6), ("max_possible_edges", 6),
     ("internal_density", 6), ("coeff_variation", 6), ("volume_per_node", 4), ("volume_per_node_norm", 6),
 ]
@@ -326,7 +326,7 @@ def oracle_sql(cluster_cfg: ClusterConfig | None = None, heat_cfg: HeatConfig |
     )
     q["cluster_sizes"] = f"WITH {CS_EDGES},\n{ASSIGN}\nSELECT cluster, count(*) AS node_count FROM assign GROUP BY 1"
     q["cluster_edge_stats"] = f"WITH {cl}\n" + _round_select(
-        [("cluster", None), ("n_edges", None), ("total_volume", 4), ("avg_weight", 6), ("std_weight", 4),
+        [("cluster", None), ("n_edges", None), ("total_volume", 4), ("avg_weight", 4), ("std_weight", 4),
          ("min_weight", 6), ("max_weight", 6)], "estats"
     )
     q["cluster_metrics"] = f"WITH {cl}\n" + _round_select(METRIC_COLS, "metrics")
@@ -378,7 +378,7 @@ SELECT (SELECT n FROM nn) AS n_nodes, count(*) AS total_edges,
              ELSE 0.0 END, 9) AS graph_density
 FROM cp_edges"""
     q["node_risk"] = f"WITH {heat}\n" + _round_select(
-        [("node_id", None), ("degree", None), ("avg_weight", 6), ("degree_z", 6), ("weight_z", 6), ("risk_raw", 6),
+        [("node_id", None), ("degree", None), ("avg_weight", 4), ("degree_z", 6), ("weight_z", 6), ("risk_raw", 6),
          ("node_risk", 6)], "risk"
     )
     q["suspicious_nodes"] = f"WITH {heat}\n" + _round_select(
