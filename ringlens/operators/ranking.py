@@ -40,9 +40,11 @@ def global_positions(df: DataFrame, order_cols: list[str], pos_col: str = "pos")
 
 
 def dense_ids(keys: DataFrame, key_col: str = "node_key", id_col: str = "node_id") -> DataFrame:
-    """Distinct keys -> dense ids 0..n-1 in key order (deterministic, same on any partitioning)."""
+    """Distinct keys -> dense ids 0..n-1 in key order (deterministic, same on any partitioning).
+
+    The finished index is written once: it is joined to both edge ends."""
     distinct = keys.select(key_col).distinct()
-    return global_positions(distinct, [key_col], id_col)
+    return materialize(global_positions(distinct, [key_col], id_col), "dense-ids")
 
 
 def exact_quantile_value(df: DataFrame, value_col: str, q: float) -> DataFrame:

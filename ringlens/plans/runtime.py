@@ -21,6 +21,7 @@ _WRITTEN: dict[int, list[str]] = {}
 RECOMMENDED_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
     "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "100000",
     "spark.sql.adaptive.skewJoin.enabled": "true",
