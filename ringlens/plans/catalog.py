@@ -7,6 +7,7 @@ same column names and the same rounding of doubles (sums in another order differ
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -62,7 +63,8 @@ def co_purchase_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 class ClusterRun:
-    """Co-supply edges with the nation clustering and everything derived from it (built lazily, shared)."""
+    """Co-supply edges with the nation clustering and the tables derived from it. Each table is built on first
+    use, so a query only runs (and writes) what it reads."""
 
     def __init__(self, spark: SparkSession, sf_dir: str, cfg: ClusterConfig | None = None):
         self.cfg = cfg or ClusterConfig()
@@ -71,9 +73,26 @@ class ClusterRun:
         self.enriched = C.enrich_edges(self.edges, self.assign)
         self.intra = C.intra_cluster_edges(self.enriched)
         self.stats = C.cluster_edge_stats(self.intra)
-        self.metrics = C.cluster_metrics_from_parts(C.cluster_sizes(self.assign), self.stats)
-        self.scored = C.score_clusters(self.metrics, self.cfg)
-        self.results, self.evaluation = V.evaluate_predictions(self.edges, self.assign, self.scored)
+
+    @cached_property
+    def metrics(self) -> DataFrame:
+        return C.cluster_metrics_from_parts(C.cluster_sizes(self.assign), self.stats)
+
+    @cached_property
+    def scored(self) -> DataFrame:
+        return C.score_clusters(self.metrics, self.cfg)
+
+    @cached_property
+    def _evaluated(self) -> tuple[DataFrame, DataFrame]:
+        return V.evaluate_predictions(self.edges, self.assign, self.scored)
+
+    @property
+    def results(self) -> DataFrame:
+        return self._evaluated[0]
+
+    @property
+    def evaluation(self) -> DataFrame:
+        return self._evaluated[1]
 
 
 # ---- edge preparation ---------------------------------------------------------------------------------------
