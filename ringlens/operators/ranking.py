@@ -1,9 +1,10 @@
 """Global positions in a sort order without a single-partition window.
 
 A global ``row_number() over (order by k)`` moves every row into one task. Here the rows are
-range-partitioned on the order key plus a unique row tag (Spark samples the bounds; the tag spreads a value
-shared by a third of the rows over many partitions instead of one), sorted inside each partition, and
-tagged with their partition and in-partition position. That table is written once to the shared folder, so
+range-partitioned on the order key plus a row hash (Spark samples the bounds; the hash spreads a value shared
+by a third of the rows over many partitions instead of one), sorted inside each partition, and tagged with
+their partition and in-partition position. The hash is a deterministic function of the row, so a re-run map
+task after a lost executor sends every row to the same partition as before. That table is written once to the shared folder, so
 every later reader sees the same partition layout even if the sample or a task is re-run. Per-partition
 counts (one row per partition, a proven bound) give each partition its offset.
 """
@@ -23,7 +24,7 @@ def global_positions(df: DataFrame, order_cols: list[str], pos_col: str = "pos")
     cols = list(df.columns)
     keys = [*order_cols, "_tie"]
     tagged = (
-        df.withColumn("_tie", F.monotonically_increasing_id())
+        df.withColumn("_tie", F.xxhash64(*[F.col(c) for c in cols]))
         .repartitionByRange(n, *keys)
         .sortWithinPartitions(*keys)
         .withColumn("_pid", F.spark_partition_id())
@@ -53,7 +54,10 @@ def exact_quantile_value(df: DataFrame, value_col: str, q: float) -> DataFrame:
     Same definition as SQL ``percentile_disc``; computed by distributed sort instead of gathering all values
     into one aggregation buffer. Empty input -> empty output.
     """
-    vals = df.select(F.col(value_col).alias("_v")).filter(F.col("_v").isNotNull())
+    # the other columns stay in the row hash, so equal values of different rows spread over partitions
+    vals = df.select(F.col(value_col).alias("_v"), F.xxhash64(*[F.col(c) for c in df.columns]).alias("_row")).filter(
+        F.col("_v").isNotNull()
+    )
     ranked = global_positions(vals, ["_v"], "_pos")
     n = vals.agg(F.count(F.lit(1)).alias("_n")).scalar()
     target = F.greatest(F.ceil(F.lit(float(q)) * n) - F.lit(1), F.lit(0))
