@@ -225,6 +225,11 @@ def q_pic_clusters(spark, sf_dir):
     return P.run_pic(co_supply_edges(spark, sf_dir), ClusterConfig(pic_k=5, pic_max_iter=20))
 
 
+def q_pic_dataframe(spark, sf_dir):
+    """The same clustering from the DataFrame power iteration and MLlib k-means (fixed 20 steps)."""
+    return P.dataframe_pic(co_supply_edges(spark, sf_dir), ClusterConfig(pic_k=5, pic_max_iter=20))
+
+
 def q_pic_pipeline(spark, sf_dir):
     """MLlib PIC on co-supply, then metrics and scores (the reference's main path)."""
     from ringlens.plans.pipeline import analyze_edges
@@ -319,6 +324,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "heat_frames": q_heat_frames,
     "power_iteration3": q_power_iteration3,
     "pic_clusters": q_pic_clusters,
+    "pic_dataframe": q_pic_dataframe,
     "pic_pipeline": q_pic_pipeline,
     "planted_graph": q_planted_graph,
     "etl_edges": q_etl_edges,
