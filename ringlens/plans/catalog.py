@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ringlens.config import ClusterConfig, GeneratorConfig, HeatConfig
-from ringlens.functions.columns import round_doubles
+from ringlens.functions.columns import repaired_weight, round_doubles
 from ringlens.operators import clusters as C
 from ringlens.operators import edges as E
 from ringlens.operators import etl as X
@@ -123,7 +123,7 @@ def q_weight_repair(spark, sf_dir):
 
 def q_edge_dedupe(spark, sf_dir):
     raw = G.co_purchase(spark, sf_dir)
-    base = raw.select("src", "dst", E.repaired_weight(F.col("weight")).alias("weight"), "true_label")
+    base = raw.select("src", "dst", repaired_weight(F.col("weight")).alias("weight"), "true_label")
     return _rd(E.canonical_pairs(base))
 
 

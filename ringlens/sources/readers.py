@@ -54,3 +54,12 @@ def read_positional_csv(spark: SparkSession, path: str) -> DataFrame:
     """
     df = spark.read.option("header", "false").option("inferSchema", "false").csv(path)
     return df.select(clean_key("_c0").alias("tx_id"), F.col("_c1").try_cast(T.IntegerType()).alias("timestamp"))
+
+
+EDGE_ROW_SCHEMA = "src long, dst long, weight double, true_label string"
+
+
+def edge_rows(spark: SparkSession, rows) -> DataFrame:
+    """Small in-memory edge lists (tests, examples) with the fixed typed schema
+    ``src long, dst long, weight double, true_label string``; feed the result to ``prepare_typed_edges``."""
+    return spark.createDataFrame(list(rows), EDGE_ROW_SCHEMA)
