@@ -4,9 +4,9 @@ A global ``row_number() over (order by k)`` moves every row into one task. Here
 range-partitioned on the order key plus a row hash (Spark samples the bounds; the hash spreads a value shared
 by a third of the rows over many partitions instead of one), sorted inside each partition, and tagged with
 their partition and in-partition position. The hash is a deterministic function of the row, so a re-run map
-task after a lost executor sends every row to the same partition as before. That table is written once to the shared folder, so
-every later reader sees the same partition layout even if the sample or a task is re-run. Per-partition
-counts (one row per partition, a proven bound) give each partition its offset.
+task after a lost executor sends every row to the same partition as before. The tagged table is written once
+to the shared folder, so every later reader sees one partition layout. Per-partition counts (one row per
+partition, a proven bound) give each partition its offset.
 """
 
 from __future__ import annotations
