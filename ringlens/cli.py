@@ -66,7 +66,7 @@ def _number(value):
 
 def run(args, spark: SparkSession) -> dict:
     from ringlens.config import ClusterConfig, HeatConfig, PipelineConfig
-    from ringlens.plans.pipeline import run_pipeline
+    from ringlens.plans.runner import run_pipeline
     from ringlens.sources.sinks import score_extract, write_csv, write_parquet
 
     cfg = PipelineConfig(

@@ -230,9 +230,9 @@ def q_pic_dataframe(spark, sf_dir):
     return P.dataframe_pic(co_supply_edges(spark, sf_dir), ClusterConfig(pic_k=5, pic_max_iter=20))
 
 
-def q_pic_pipeline(spark, sf_dir):
+def q_pic_scores(spark, sf_dir):
     """MLlib PIC on co-supply, then metrics and scores (the reference's main path)."""
-    from ringlens.plans.pipeline import analyze_edges
+    from ringlens.plans.runner import analyze_edges
 
     cfg = ClusterConfig(pic_k=5, pic_max_iter=20)
     return analyze_edges(co_supply_edges(spark, sf_dir), cfg)["scored"]
@@ -325,7 +325,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "power_iteration3": q_power_iteration3,
     "pic_clusters": q_pic_clusters,
     "pic_dataframe": q_pic_dataframe,
-    "pic_pipeline": q_pic_pipeline,
+    "pic_scores": q_pic_scores,
     "planted_graph": q_planted_graph,
     "etl_edges": q_etl_edges,
     "edge_time_modes": q_edge_time_modes,

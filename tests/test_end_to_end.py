@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from ringlens.cli import main as cli_main
 from ringlens.config import ClusterConfig, GeneratorConfig, PipelineConfig
-from ringlens.plans.pipeline import run_pipeline
+from ringlens.plans.runner import run_pipeline
 from ringlens.sources import testgraphs as G
 
 from conftest import SF001

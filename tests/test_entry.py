@@ -14,4 +14,4 @@ def test_entry_returns_scored_clusters(spark):
 def test_registry_shape():
     q, sql = ent.queries(), ent.oracle_sql()
     assert set(sql) <= set(q)
-    assert set(q) - set(sql) == {"pic_clusters", "pic_dataframe", "pic_pipeline"}
+    assert set(q) - set(sql) == {"pic_clusters", "pic_dataframe", "pic_scores"}
