@@ -75,3 +75,9 @@ def test_cli_run_and_prepare(spark, trade_files, capsys):
     summary = json.loads(capsys.readouterr().out.strip().splitlines()[-1])
     assert summary["total_edges"] == 3184
     assert spark.read.option("header", "true").csv(f"{out_dir}/cluster_scores_csv").count() >= 1
+
+
+def test_default_run_like_the_reference_smoke_test(spark):
+    """Defaults everywhere (synthetic graph, k=200, 40 iterations): the summary has f1 and a positive node count."""
+    s = run_pipeline(spark)["summary"].first().asDict()
+    assert "f1" in s and "n_nodes" in s and s["n_nodes"] > 0
