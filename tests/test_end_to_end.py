@@ -81,3 +81,26 @@ def test_default_run_like_the_reference_smoke_test(spark):
     """Defaults everywhere (synthetic graph, k=200, 40 iterations): the summary has f1 and a positive node count."""
     s = run_pipeline(spark)["summary"].first().asDict()
     assert "f1" in s and "n_nodes" in s and s["n_nodes"] > 0
+
+
+def test_cli_prepare(spark, capsys):
+    import os
+
+    d = tempfile.mkdtemp(prefix="ringlens-cli-prep-", dir="/tmp")
+    files = {
+        "edges.csv": "txId1,txId2\na,b\nb,c\n",
+        "classes.csv": "txId,class\na,1\nb,2\nc,2\n",
+        "features.csv": "a,3,x\nb,4,y\nc,9,z\n",
+    }
+    for name, text in files.items():
+        with open(os.path.join(d, name), "w") as fh:
+            fh.write(text)
+    rc = cli_main([
+        "prepare", "--edges-path", f"{d}/edges.csv", "--classes-path", f"{d}/classes.csv",
+        "--features-path", f"{d}/features.csv", "--output-path", f"{d}/out", "--timestamp-mode", "src",
+    ])
+    assert rc == 0
+    stats = json.loads(capsys.readouterr().out.strip().splitlines()[-1])
+    assert stats["edge_count"] == 2 and stats["min_timestamp"] == 3 and stats["max_timestamp"] == 4
+    labels = sorted(r.true_label for r in spark.read.parquet(f"{d}/out").collect())
+    assert labels == ["fraud", "normal"]
