@@ -1,9 +1,18 @@
 """ringlens: suspicious-group analytics on transaction graphs, written as Spark DataFrame operators.
 
-Every public operator takes DataFrames (plus a frozen config) and returns a lazy DataFrame.
-No operator creates or stops a session, sets the master, or collects a table to the driver.
+Every public operator takes DataFrames (plus a frozen config) and returns a DataFrame. No operator creates or
+stops a session, sets the master, or collects a table to the driver.
 """
 
-from ringlens.config import ClusterConfig, HeatConfig, PipelineConfig, RingSpec
+from ringlens.config import ClusterConfig, GeneratorConfig, HeatConfig, PipelineConfig, RingSpec
+from ringlens.plans.runner import analyze_edges, run_pipeline
 
-__all__ = ["ClusterConfig", "HeatConfig", "PipelineConfig", "RingSpec"]
+__all__ = [
+    "ClusterConfig",
+    "GeneratorConfig",
+    "HeatConfig",
+    "PipelineConfig",
+    "RingSpec",
+    "analyze_edges",
+    "run_pipeline",
+]
