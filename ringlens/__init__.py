@@ -4,8 +4,9 @@ Every public operator takes DataFrames (plus a frozen config) and returns a Data
 stops a session, sets the master, or collects a table to the driver.
 """
 
-from ringlens.config import ClusterConfig, GeneratorConfig, HeatConfig, PipelineConfig, RingSpec
-from ringlens.plans.runner import analyze_edges, run_pipeline
+import importlib
+
+_HOMES = {"analyze_edges": "ringlens.plans.runner", "run_pipeline": "ringlens.plans.runner"}
 
 __all__ = [
     "ClusterConfig",
@@ -16,3 +17,10 @@ __all__ = [
     "analyze_edges",
     "run_pipeline",
 ]
+
+
+def __getattr__(name: str):
+    """Public names are loaded on first use, so that a Python worker that needs one module does not import all."""
+    if name in __all__:
+        return getattr(importlib.import_module(_HOMES.get(name, "ringlens.config")), name)
+    raise AttributeError(f"module {__name__!r} has no attribute {name!r}")
