@@ -55,3 +55,11 @@ def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
         small = large.join(low, "u").filter("v != m").select(F.col("v").alias("u"), F.col("m").alias("v"))
         now = materialize(small.union(low.select("u", F.col("m").alias("v"))).distinct(), "components")
     raise RuntimeError(f"components did not settle in {max_rounds} rounds")
+
+
+def fresh(df: DataFrame, name: str) -> str:
+    """``name``, with underscores before it until no column of ``df`` has it (in any case of letters)."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name

@@ -9,9 +9,9 @@ Two sets of sizes a and b reach a Jaccard similarity of p percent only if they d
   document goes to the cell (class, block, coordinates in it) of its blocks with two tokens or more; a document whose blocks
   are mostly smaller goes to all its cells. Linked documents therefore share a cell, always.
 * Equal sets are one node from the start: copies never meet in a cell.
-* In a cell, all nodes are first compared with its smallest node (a star, one pair per member), then, where members are
-  still in different components, with one drawn by hash. Cells that still have several components are searched with
-  packed trees: boxes of points bound the overlap by coordinate minima, box against box, then point against point.
+* In a cell, each node is first compared with the smallest node and with the one before it (a star and a chain, two pairs
+  per member). Cells whose members are then still in different components are searched with packed trees: boxes of points
+  bound the overlap by coordinate minima, box against box, then point against point.
 * Every pair that passes the bound is verified on the whole token sets.
 
 The result does not depend on the order of rows or on their partitioning.
@@ -20,7 +20,7 @@ The result does not depend on the order of rows or on their partitioning.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import lru_cache, reduce
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -30,7 +30,6 @@ from pyspark.sql import functions as F
 from ringlens.llm.common import broadcast_checked, connected_components, only_columns
 from ringlens.plans.runtime import materialize
 
-STAR_ROUNDS = 2  # comparisons of a cell's nodes with one node of the cell, before what is left is searched
 GROUPS = 64  # coordinates of a point
 LEAF = 16  # points in a box
 BLOCK = 2048  # members of a cell that one task compares; larger cells are dealt out as pairs of blocks
@@ -52,7 +51,7 @@ def mix(x: np.ndarray) -> np.ndarray:
 _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = True
 _BASE = 0x2545F4914F6CDD1D  # odd, so its powers can be inverted modulo 2**64
-CHUNK = 1 << 20  # bytes of text hashed at once; a longer text is a chunk of its own
+CHUNK = 1 << 18  # bytes of text hashed at once; a longer text is a chunk of its own
 
 
 @lru_cache(maxsize=2)
@@ -104,7 +103,7 @@ def token_batches(texts: list[bytes | None], width: int) -> Iterator[np.ndarray]
                 yield np.unique(grams[low : high - width + 1])
             elif high > low:
                 few = (h[low:high] * np.array(weight[: high - low])).sum(dtype=np.uint64)
-                yield mix(np.array([few], np.uint64) + np.uint64(high - low) * _MULTIPLIERS[4])
+                yield mix(few + np.array([high - low], np.uint64) * _MULTIPLIERS[4])
             else:
                 yield np.empty(0, np.uint64)
 
@@ -172,11 +171,18 @@ def _texts(column: pa.Array) -> list:
     return column.cast(pa.binary()).to_pylist()
 
 
+def _slices(batches: Iterator[pa.RecordBatch], rows: int = 512) -> Iterator[pa.RecordBatch]:
+    """The batches in pieces of few rows, so that little of a batch is held as Python objects at once."""
+    for b in batches:
+        for i in range(0, b.num_rows, rows):
+            yield b.slice(i, rows)
+
+
 def shapes(docs: DataFrame, width: int) -> DataFrame:
     """(doc_id, n, node) of every row of (doc_id, text): number of tokens and the name of the token set."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in _slices(batches):
             sets = list(token_batches(_texts(b.column(1)), width))
             yield pa.record_batch(
                 [b.column(0), pa.array([len(s) for s in sets], pa.int64()), pa.array([node_of(s) for s in sets], pa.int64())],
@@ -191,7 +197,7 @@ def members(docs: DataFrame, width: int, percent: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         classes, seen = SizeClasses(percent), set()
-        for b in batches:
+        for b in _slices(batches):
             keys, nodes = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
             for s in token_batches(_texts(b.column(0)), width):
                 node = node_of(s)
@@ -208,7 +214,8 @@ def members(docs: DataFrame, width: int, percent: int) -> DataFrame:
 
 
 def shared_cells(member: DataFrame) -> DataFrame:
-    """(cell, first, node) of the cells with more than one node: each further node beside the smallest one."""
+    """(cell, first, before, node) of the cells with more than one node: each further node beside the smallest one and the one
+    before it, in the order of the nodes, which are hashes."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         # rows come sorted by cell and node; only the open cell's name, first and last node are carried on
@@ -221,19 +228,23 @@ def shared_cells(member: DataFrame) -> DataFrame:
             repeat = np.concatenate([[not new[0] and n[0] == last], (n[1:] == n[:-1]) & ~new[1:]])
             start = np.maximum.accumulate(np.where(new, np.arange(len(c)), -1))
             head = np.where(start >= 0, n[start], 0 if first is None else first)
+            # the row before is of the same cell where a row is kept; of equal nodes only the first is kept
+            before = np.concatenate([[0 if last is None else last], n[:-1]])
             keep = ~new & ~repeat
             cell, first, last = c[-1], head[-1], n[-1]
             if keep.any():
-                yield pa.record_batch([pa.array(c[keep]), pa.array(head[keep]), pa.array(n[keep])], ["cell", "first", "node"])
+                columns = [pa.array(x[keep]) for x in (c, head, before, n)]
+                yield pa.record_batch(columns, ["cell", "first", "before", "node"])
 
-    return member.repartition("cell").sortWithinPartitions("cell", "node").mapInArrow(run, "cell long, first long, node long")
+    placed = member.repartition("cell").sortWithinPartitions("cell", "node")
+    return placed.mapInArrow(run, "cell long, first long, before long, node long")
 
 
 def token_sets(docs: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
     """(node, n, point, tokens) of the wanted (doc_id, node); docs are (doc_id, text)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in _slices(batches):
             rows = []
             for s, node in zip(token_batches(_texts(b.column(0)), width), b.column(1).to_pylist(), strict=True):
                 if node_of(s) == node:
@@ -277,7 +288,7 @@ def linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs (u, v) that link, judged on the whole sets."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in _slices(batches):
             keep = []
             for x, y in zip(b.column(2).to_pylist(), b.column(3).to_pylist(), strict=True):
                 x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
@@ -336,13 +347,6 @@ def open_cells(cell: DataFrame, component: DataFrame) -> DataFrame:
     return placed.join(found, "cell")
 
 
-def star_pairs(placed: DataFrame, seed: int) -> DataFrame:
-    """Pairs (u, v) of one node of each open cell, drawn by hash, with its nodes of other components."""
-    hub = placed.groupBy("cell").agg(F.expr(f"min_by(struct(node, component), xxhash64(node, {seed}))").alias("hub"))
-    pair = placed.join(hub, "cell").filter("component != hub.component")
-    return pair.select(F.least("node", "hub.node").alias("u"), F.greatest("node", "hub.node").alias("v")).distinct()
-
-
 def open_pairs(placed: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Pairs (u, v) within the bound that meet in an open cell and are not in one component."""
 
@@ -394,22 +398,18 @@ def jaccard_components(documents: DataFrame, id_col: str = "doc_id", text_col: s
     shape = materialize(shapes(docs, width), "jaccard-shapes")
     node = shape.filter("n > 0").groupBy("node").agg(F.min("doc_id").alias("doc_id"))
     cell = materialize(shared_cells(members(docs, width, percent)), "jaccard-cells")
-    stars = cell.select(F.col("first").alias("u"), F.col("node").alias("v")).distinct()
+    stars = cell.select(F.explode(F.array("first", "before")).alias("u"), F.col("node").alias("v")).distinct()
+    stars = materialize(stars, "jaccard-stars")
     involved = materialize(
         cell.select("node").union(cell.select("first")).distinct().join(node, "node"), "jaccard-involved"
     )
     wanted = broadcast_checked(involved, involved.count())
     sets = materialize(token_sets(docs, wanted, width), "jaccard-sets")
-    tested, links = stars, []
-    for seed in range(1, STAR_ROUNDS + 2):
-        near = within_bound(stars, sets, percent) if seed <= STAR_ROUNDS else stars
-        links.append(materialize(linked(materialize(near, "jaccard-near"), sets, percent), "jaccard-links"))
-        joined = connected_components(reduce(DataFrame.union, links))
-        if seed <= STAR_ROUNDS:
-            placed = materialize(open_cells(cell, joined), "jaccard-open")
-            stars = star_pairs(placed, seed) if seed < STAR_ROUNDS else open_pairs(placed, sets, percent)
-            stars = materialize(stars.join(tested, ["u", "v"], "left_anti"), "jaccard-pairs")
-            tested = tested.union(stars)
+    near = materialize(within_bound(stars, sets, percent), "jaccard-near")
+    links = materialize(linked(near, sets, percent), "jaccard-links")
+    placed = materialize(open_cells(cell, connected_components(links)), "jaccard-open")
+    rest = materialize(open_pairs(placed, sets, percent).join(stars, ["u", "v"], "left_anti"), "jaccard-rest")
+    joined = connected_components(links.union(materialize(linked(rest, sets, percent), "jaccard-links")))
     group = node.join(joined, "node", "left").withColumn("component", F.coalesce("component", "node"))
     smallest = group.groupBy("component").agg(F.min("doc_id").alias("component_id"))
     named = group.join(smallest, "component").select("node", "component_id")

@@ -27,3 +27,96 @@ FROM n LEFT JOIN reach r ON r.doc_id = n.doc_id GROUP BY n.doc_id, n.n
 """
 
 ORACLE: dict[str, str] = {"op10_jaccard_join": OP10}
+
+# Draws and targets as in mixing.py: sources by code point, null last; the level is found by resharing until none is above
+# its limit, here as the largest prefix of sources in ascending order of limit per weight that stops.
+OP3 = rf"""
+WITH d AS (
+  SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), {_WORDS}))::BIGINT AS size,
+    ('0x' || md5(concat_ws('|', 'mix-1', coalesce(doc_id::VARCHAR, '-'), coalesce(source, '-'), coalesce(text, '-')))[1:8])::BIGINT
+      / 4294967296.0::DOUBLE AS drawn
+  FROM documents
+),
+s AS (
+  SELECT source, sum(size)::BIGINT AS source_size,
+    [5.0, 2.0, 1.0][1 + ((row_number() OVER (ORDER BY source NULLS LAST)) - 1) % 3]::DOUBLE AS weight
+  FROM d GROUP BY source
+),
+r AS (
+  SELECT *, 2.0::DOUBLE * source_size AS lim, 1.5::DOUBLE * sum(source_size) OVER () AS total,
+    coalesce(sum(2.0::DOUBLE * source_size) OVER (ORDER BY 2.0::DOUBLE * source_size / weight, source NULLS LAST
+      ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS held,
+    sum(weight) OVER (ORDER BY 2.0::DOUBLE * source_size / weight, source NULLS LAST
+      ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS free
+  FROM s
+),
+c AS (SELECT *, lim * free <= weight * (total - held) AS stops FROM r),
+l AS (
+  SELECT coalesce(sum(CASE WHEN stops THEN lim END), 0) AS held, sum(CASE WHEN NOT stops THEN weight END) AS free FROM c
+),
+t AS (
+  SELECT source, source_size,
+    CASE WHEN stops THEN lim ELSE least(lim, weight * (total - l.held) / coalesce(l.free, 1.0)) END AS target FROM c, l
+)
+SELECT doc_id, size, source_size, target,
+  (floor(rate) + CASE WHEN drawn < rate - floor(rate) THEN 1 ELSE 0 END)::BIGINT AS copies,
+  ((floor(rate) + CASE WHEN drawn < rate - floor(rate) THEN 1 ELSE 0 END) * size)::BIGINT AS taken
+FROM (
+  SELECT d.*, t.source_size, t.target, CASE WHEN t.source_size > 0 THEN t.target / t.source_size ELSE 0.0 END AS rate
+  FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source
+)
+"""
+
+OP6 = r"""
+WITH p AS (
+  SELECT page_id, coalesce(translate(regexp_extract(url, '(?s)^.*?://([^/?#]*)([^?#]*)', 1),
+      'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '') AS host,
+    coalesce(regexp_extract(url, '(?s)^.*?://([^/?#]*)([^?#]*)', 2), '') AS path
+  FROM pages
+),
+r(rhost, rpath, verdict) AS (
+  VALUES ('net', '/', 'block'), ('example.net', '/en/', 'allow'), ('example.com', '/de/', 'block'), ('org', '/fr/', 'allow')
+),
+m AS (
+  SELECT p.*, r.*, row_number() OVER (PARTITION BY page_id, host, path ORDER BY length(rhost) + length(rpath) DESC) AS k
+  FROM (SELECT DISTINCT * FROM p) p JOIN r ON (host = rhost OR ends_with(host, '.' || rhost)) AND starts_with(path, rpath)
+)
+SELECT p.page_id, p.host, p.path, m.rhost || m.rpath AS rule, coalesce(m.verdict, 'allow') AS verdict
+FROM p LEFT JOIN m ON m.k = 1 AND m.page_id = p.page_id AND m.host = p.host AND m.path = p.path
+"""
+
+
+def _op5() -> str:
+    from ringlens.llm.license_scan import TEMPLATES, _template_bigrams, _template_words
+
+    rows = []
+    for name, text in TEMPLATES.items():
+        pairs = ", ".join("'" + b.replace("'", "''") + "'" for b in _template_bigrams(_template_words(text)))
+        rows.append(f"('{name}', [{pairs}])")
+    clean = r"trim(regexp_replace(lower({}), '[^\p{{L}}\p{{N}}]+', ' ', 'g'))"
+    return rf"""
+WITH tpl(license, own) AS (VALUES {", ".join(rows)}),
+u AS (
+  SELECT doc_id, unnest(list_distinct(list_concat([text], regexp_split_to_array(text, '\n\s*\n'), string_split(text, chr(10))))) AS unit
+  FROM (SELECT doc_id, coalesce(text, '') AS text FROM documents)
+),
+w AS (SELECT doc_id, string_split({clean.format("unit")}, ' ') AS ws FROM u),
+b AS (
+  SELECT doc_id, list_distinct(list_transform(range(1, len(ws)), lambda i: ws[i] || ' ' || ws[i + 1])) AS pairs FROM w WHERE len(ws) > 1
+),
+m AS (
+  SELECT doc_id, license, max(2.0::DOUBLE * len(list_intersect(pairs, own)) / (len(pairs) + len(own))) AS dice
+  FROM b JOIN tpl ON len(pairs) <= 4 * len(own) GROUP BY 1, 2 HAVING dice >= 0.8
+),
+g AS (
+  SELECT doc_id, count(*) AS n, string_agg(license, ',' ORDER BY license) AS names, max(dice) AS top,
+    min(license) FILTER (dice = best) AS first
+  FROM (SELECT *, max(dice) OVER (PARTITION BY doc_id) AS best FROM m) GROUP BY 1
+)
+SELECT d.doc_id, coalesce(n, 0)::BIGINT AS n_licenses, coalesce(names, '') AS licenses, first AS best_license,
+  coalesce(top, 0.0)::DOUBLE AS best_dice
+FROM documents d LEFT JOIN g USING (doc_id)
+"""
+
+
+ORACLE.update({"op3_mixing": OP3, "op5_license_scan": _op5(), "op6_url_filter": OP6})
