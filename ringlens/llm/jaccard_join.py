@@ -30,8 +30,9 @@ from pyspark.sql import functions as F
 from ringlens.llm.common import broadcast_checked, connected_components, only_columns
 from ringlens.plans.runtime import materialize
 
-GROUPS = 64  # coordinates of a point
+GROUPS = 256  # coordinates of a point
 LEAF = 16  # points in a box
+KNOWN = 16  # smallest cells of a node that tell whether a pair has met in an earlier cell
 BLOCK = 2048  # members of a cell that one task compares; larger cells are dealt out as pairs of blocks
 CLASS_RATIO = 1.5
 SPARE = 1.4  # blocks per token that may differ
@@ -163,8 +164,10 @@ def cells(tok: np.ndarray, classes: SizeClasses) -> np.ndarray:
 
 
 def point(tok: np.ndarray) -> bytes:
-    """Counts of tokens per group."""
-    return np.bincount((tok & np.uint64(GROUPS - 1)).astype(np.int64), minlength=GROUPS).astype("<i4").tobytes()
+    """Counts of tokens per group, in the narrowest of three widths that holds them."""
+    count = np.bincount((tok & np.uint64(GROUPS - 1)).astype(np.int64), minlength=GROUPS)
+    most = count.max(initial=0)
+    return count.astype("<u1" if most < 1 << 8 else "<u2" if most < 1 << 16 else "<u4").tobytes()
 
 
 def _texts(column: pa.Array) -> list:
@@ -259,7 +262,9 @@ def token_sets(docs: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
 
 
 def _points(column) -> np.ndarray:
-    return np.frombuffer(b"".join(column), "<i4").reshape(-1, GROUPS)
+    width = max(map(len, column), default=GROUPS) // GROUPS
+    same = [p if len(p) == width * GROUPS else np.frombuffer(p, f"<u{len(p) // GROUPS}").astype(f"<u{width}").tobytes() for p in column]
+    return np.frombuffer(b"".join(same), f"<u{width}").reshape(-1, GROUPS)
 
 
 def needed(a, b, percent: int):
@@ -275,7 +280,7 @@ def within_bound(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
             if b.num_rows:
                 x, y = _points(b.column(2).to_pylist()), _points(b.column(3).to_pylist())
                 a, c = x.sum(1, dtype=np.int64), y.sum(1, dtype=np.int64)
-                keep = np.minimum(x, y).sum(1) >= needed(a, c, percent)
+                keep = np.minimum(x, y).sum(1, dtype=np.int64) >= needed(a, c, percent)
                 yield pa.RecordBatch.from_arrays([b.column(0), b.column(1)], ["u", "v"]).filter(pa.array(keep))
 
     s = sets.select("node", "n", "point")
@@ -308,7 +313,7 @@ def tree_pairs(pts: np.ndarray, component: np.ndarray, side: np.ndarray, percent
     searched if the minima of the boxes' upper corners sum to the overlap that their smallest sizes need.
     """
     size = pts.sum(1, dtype=np.int64)
-    wide = np.argsort(-np.var(pts, axis=0), kind="stable")[:2]
+    wide = np.argsort(-np.var(pts, axis=0, dtype=np.float32), kind="stable")[:2]
     order = np.lexsort((pts[:, wide[1]], pts[:, wide[0]], size))
     pts, size, component, side = pts[order], size[order], component[order], side[order]
     starts = np.arange(0, len(pts), LEAF)
@@ -316,9 +321,9 @@ def tree_pairs(pts: np.ndarray, component: np.ndarray, side: np.ndarray, percent
     ends = np.append(starts[1:], len(pts))
     left, right = [], []
     for i, (low, high) in enumerate(zip(starts, ends, strict=True)):
-        reach = np.minimum(top[i], top[i:]).sum(1) >= needed(least[i], least[i:], percent)
+        reach = np.minimum(top[i], top[i:]).sum(1, dtype=np.int64) >= needed(least[i], least[i:], percent)
         other = np.concatenate([np.arange(starts[j], ends[j]) for j in i + np.flatnonzero(reach)])
-        overlap = np.minimum(pts[low:high, None, :], pts[None, other, :]).sum(2)
+        overlap = np.minimum(pts[low:high, None, :], pts[None, other, :]).sum(2, dtype=np.int64)
         a, b = size[low:high, None], size[None, other]
         good = (overlap >= needed(a, b, percent)) & (component[low:high, None] != component[None, other])
         good &= np.arange(low, high)[:, None] < other[None, :]
@@ -348,17 +353,25 @@ def open_cells(cell: DataFrame, component: DataFrame) -> DataFrame:
 
 
 def open_pairs(placed: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Pairs (u, v) within the bound that meet in an open cell and are not in one component."""
+    """Pairs (u, v) within the bound that meet in an open cell and are not in one component.
+
+    A pair that meets in several cells is left to an earlier one if both nodes know of it: each carries its ``KNOWN``
+    smallest cells. The smallest common cell always gives the pair."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def search(rows: pa.Table) -> Iterator[pa.RecordBatch]:
             col = {k: rows.column(k).to_numpy() for k in ("cell", "low", "high", "block", "node", "component")}
             pts = _points(rows.column("point").to_pylist())
+            known = np.frombuffer(b"".join(rows.column("known").to_pylist()), ">i8").astype(np.int64).reshape(-1, KNOWN)
             cuts = np.flatnonzero(np.concatenate([[True], np.any([col[k][1:] != col[k][:-1] for k in ("cell", "low", "high")], axis=0)]))
             for a, b in zip(cuts, np.append(cuts[1:], rows.num_rows), strict=True):
                 side = (col["block"][a:b] == col["high"][a]) & (col["low"][a] != col["high"][a])
                 x, y = tree_pairs(pts[a:b], col["component"][a:b], side, percent)
-                node = col["node"][a:b]
+                met = np.zeros(len(x), bool)
+                for k in range(0, len(x), 8192):
+                    s, t = known[a + x[k : k + 8192], :, None], known[a + y[k : k + 8192], None, :]
+                    met[k : k + 8192] = ((s == t) & (s < col["cell"][a])).any((1, 2))
+                node, x, y = col["node"][a:b], x[~met], y[~met]
                 if len(x):
                     u, v = np.minimum(node[x], node[y]), np.maximum(node[x], node[y])
                     yield pa.record_batch([pa.array(u), pa.array(v)], ["u", "v"])
@@ -383,9 +396,14 @@ def open_pairs(placed: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
         .withColumn("with", F.explode(F.expr("sequence(0, blocks - 1)")))
         .select("cell", F.least("block", "with").alias("low"), F.greatest("block", "with").alias("high"), "block", "node", "component")
         .join(sets.select("node", "point"), "node")
+        .join(placed.groupBy("node").agg(F.slice(F.sort_array(F.collect_list("cell")), 1, KNOWN).alias("cells")), "node")
+        # a list of longs as bytes, filled up with the largest long
+        .withColumn("known", F.unhex(F.array_join(F.transform(
+            F.sequence(F.lit(0), F.lit(KNOWN - 1)),
+            lambda i: F.lpad(F.hex(F.coalesce(F.get("cells", i), F.lit((1 << 63) - 1))), 16, "0")), "")))
     )
     found = dealt.repartition("cell", "low", "high").sortWithinPartitions("cell", "low", "high")
-    return found.select("cell", "low", "high", "block", "node", "component", "point").mapInArrow(run, "u long, v long").distinct()
+    return found.select("cell", "low", "high", "block", "node", "component", "point", "known").mapInArrow(run, "u long, v long").distinct()
 
 
 def jaccard_components(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5, percent: int = 80) -> DataFrame:
