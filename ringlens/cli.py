@@ -14,6 +14,37 @@ import sys
 
 from pyspark.sql import SparkSession
 
+from ringlens.config import ClusterConfig, HeatConfig, PipelineConfig
+
+
+# Flag -> configuration class, its field, and the range the value is kept in. Types and defaults are the field's.
+CONFIG_FLAGS = {
+    "--pic-k": (ClusterConfig, "pic_k", None),
+    "--pic-max-iter": (ClusterConfig, "pic_max_iter", None),
+    "--pic-partitions": (ClusterConfig, "pic_partitions", (1, None)),
+    "--fraud-score-threshold": (ClusterConfig, "fraud_score_threshold", None),
+    "--micro-cluster-max-size": (ClusterConfig, "micro_cluster_max_size", None),
+    "--min-cluster-size": (ClusterConfig, "min_cluster_size", None),
+    "--min-internal-density": (ClusterConfig, "min_internal_density", (0.0, None)),
+    "--tau-start": (HeatConfig, "tau_start", None),
+    "--tau-end": (HeatConfig, "tau_end", None),
+    "--cooling-steps": (HeatConfig, "steps", (1, None)),
+    "--faulty-node-quantile": (HeatConfig, "faulty_quantile", (0.0, 1.0)),
+    "--faulty-edge-boost": (HeatConfig, "faulty_edge_boost", (0.0, None)),
+}
+
+
+def _configured(config, args):
+    """A configuration with the values of its flags."""
+    values = {}
+    for owner, name, limits in CONFIG_FLAGS.values():
+        if owner is config:
+            low, high = limits or (None, None)
+            value = getattr(args, name)
+            value = value if low is None else max(value, low)
+            values[name] = value if high is None else min(value, high)
+    return config(**values)
+
 
 def _run_parser(sub) -> None:
     p = sub.add_parser("run", help="run the pipeline")
@@ -28,21 +59,16 @@ def _run_parser(sub) -> None:
     p.add_argument("--time-col", default="")
     p.add_argument("--time-min", default=None)
     p.add_argument("--time-max", default=None)
-    p.add_argument("--input-has-header", default="true", choices=["true", "false"])
+    p.add_argument("--input-has-header", action=argparse.BooleanOptionalAction, default=True)
     p.add_argument("--input-delimiter", default=",")
     p.add_argument("--shuffle-partitions", type=int, default=None)
-    p.add_argument("--pic-k", type=int, default=200)
-    p.add_argument("--pic-max-iter", type=int, default=40)
     p.add_argument("--clusterer", default="mllib", choices=["mllib", "dataframe"])
-    p.add_argument("--fraud-score-threshold", type=float, default=0.35)
-    p.add_argument("--micro-cluster-max-size", type=int, default=2000)
-    p.add_argument("--min-internal-density", type=float, default=0.01)
     p.add_argument("--heat-kernel", action="store_true")
-    p.add_argument("--tau-start", type=float, default=1.2)
-    p.add_argument("--tau-end", type=float, default=0.2)
-    p.add_argument("--cooling-steps", type=int, default=6)
-    p.add_argument("--faulty-node-quantile", type=float, default=0.95)
-    p.add_argument("--faulty-edge-boost", type=float, default=0.35)
+    p.add_argument("--one-edge-per-pair", action="store_true", help="one edge per node pair whatever its labels")
+    p.add_argument("--labelled-only", action="store_true", help="evaluate only nodes with a known label")
+    for flag, (config, name, _) in CONFIG_FLAGS.items():
+        default = getattr(config(), name)
+        p.add_argument(flag, dest=name, type=type(default), default=default)
 
 
 def _prepare_parser(sub) -> None:
@@ -65,26 +91,13 @@ def _number(value):
 
 
 def run(args, spark: SparkSession) -> dict:
-    from ringlens.config import ClusterConfig, HeatConfig, PipelineConfig
     from ringlens.plans.runner import run_pipeline
+    from ringlens.plans.runtime import release_scratch
     from ringlens.sources.sinks import score_extract, write_csv, write_parquet
 
     cfg = PipelineConfig(
-        cluster=ClusterConfig(
-            pic_k=args.pic_k,
-            pic_max_iter=args.pic_max_iter,
-            fraud_score_threshold=args.fraud_score_threshold,
-            micro_cluster_max_size=args.micro_cluster_max_size,
-            min_internal_density=max(args.min_internal_density, 0.0),
-        ),
-        heat=HeatConfig(
-            tau_start=args.tau_start,
-            tau_end=args.tau_end,
-            steps=max(args.cooling_steps, 1),
-            faulty_quantile=min(max(args.faulty_node_quantile, 0.0), 1.0),
-            faulty_edge_boost=max(args.faulty_edge_boost, 0.0),
-        ),
-        use_heat_kernel=args.heat_kernel,
+        cluster=_configured(ClusterConfig, args), heat=_configured(HeatConfig, args), use_heat_kernel=args.heat_kernel,
+        one_edge_per_pair=args.one_edge_per_pair, labelled_only=args.labelled_only,
     )
     out = run_pipeline(
         spark,
@@ -98,14 +111,14 @@ def run(args, spark: SparkSession) -> dict:
         time_col=args.time_col or None,
         time_min=_number(args.time_min),
         time_max=_number(args.time_max),
-        input_has_header=args.input_has_header == "true",
+        input_has_header=args.input_has_header,
         input_delimiter=args.input_delimiter,
         clusterer=args.clusterer,
     )
     base = args.output_dir.rstrip("/")
     for name in ("scored", "node_results", "assignments", "evaluation", "summary"):
         write_parquet(out[name], f"{base}/{name}")
-    for name in ("heat_history", "heat_frames", "node_risk"):
+    for name in ("heat_history", "heat_frames", "node_risk", "heat_metadata"):
         if name in out:
             write_parquet(out[name], f"{base}/{name}")
     if args.visualize:
@@ -113,6 +126,7 @@ def run(args, spark: SparkSession) -> dict:
         if "heat_history" in out:
             write_csv(out["heat_history"], f"{base}/heat_history_csv")
     row = spark.read.parquet(f"{base}/summary").first()
+    release_scratch(spark)  # all results are written; the intermediate tables are not read any more
     return row.asDict() if row else {}
 
 

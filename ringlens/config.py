@@ -36,6 +36,9 @@ class ClusterConfig:
     pic_k: int = 200
     pic_max_iter: int = 40
     pic_init_mode: str = "random"
+    # Edge partitions of MLlib's clustering. Its random start is drawn per partition, so this number is part of the result.
+    # Some 4 million edges a partition suit an executor core; it is never derived from the input or the cluster.
+    pic_partitions: int = 16
     fraud_score_threshold: float = 0.35
     micro_cluster_max_size: int = 2000
     min_internal_density: float = 0.01
@@ -79,3 +82,5 @@ class PipelineConfig:
     use_heat_kernel: bool = False
     # True: one edge per node pair (max weight, most suspicious label). False: the pair and label form the key (T1).
     one_edge_per_pair: bool = False
+    # True: only nodes with a known label are counted in the evaluation.
+    labelled_only: bool = False

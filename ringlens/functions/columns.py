@@ -23,6 +23,17 @@ def clean_key(col: Column | str) -> Column:
     return F.trim(c.cast(T.StringType()))
 
 
+def has_key(col: Column | str) -> Column:
+    """Whether a cleaned key names a node: neither null nor blank (a null length is not positive)."""
+    return F.coalesce(F.length(col), F.lit(0)) > 0
+
+
+def ratio_or(top: Column | str, bottom: Column | str, default: float) -> Column:
+    """``top / bottom`` where ``bottom`` is positive, else ``default``."""
+    t, b = (F.col(c) if isinstance(c, str) else c for c in (top, bottom))
+    return F.when(b > 0, t / b).otherwise(F.lit(default))
+
+
 def finite_double(col: Column | str) -> Column:
     """``try_cast`` to double; malformed text, NaN and +-Infinity become null."""
     c = (F.col(col) if isinstance(col, str) else col).try_cast(T.DoubleType())

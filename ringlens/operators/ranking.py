@@ -4,7 +4,8 @@ A global ``row_number() over (order by k)`` moves every row into one task. Here
 range-partitioned on the order key plus a row hash (Spark samples the bounds; the hash spreads a value shared
 by a third of the rows over many partitions instead of one), sorted inside each partition, and tagged with
 their partition and in-partition position. The hash is a deterministic function of the row, so a re-run map
-task after a lost executor sends every row to the same partition as before. The tagged table is written once
+task after a lost executor sends every row to the same partition as before. The number of partitions is the session's,
+coalesced by AQE to its advisory size. The tagged table is written once
 to the shared folder, so every later reader sees one partition layout. Per-partition counts (one row per
 partition, a proven bound) give each partition its offset.
 """
@@ -14,18 +15,16 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ringlens.plans.runtime import materialize, shuffle_partitions
+from ringlens.plans.runtime import materialize
 
 
 def global_positions(df: DataFrame, order_cols: list[str], pos_col: str = "pos") -> DataFrame:
     """Add ``pos_col``: the 0-based position of each row in ``ORDER BY order_cols`` (ties in any order)."""
-    spark = df.sparkSession
-    n = shuffle_partitions(spark)
     cols = list(df.columns)
     keys = [*order_cols, "_tie"]
     tagged = (
         df.withColumn("_tie", F.xxhash64(*[F.col(c) for c in cols]))
-        .repartitionByRange(n, *keys)
+        .repartitionByRange(*keys)
         .sortWithinPartitions(*keys)
         .withColumn("_pid", F.spark_partition_id())
         .withColumn("_mid", F.monotonically_increasing_id())
@@ -43,9 +42,8 @@ def global_positions(df: DataFrame, order_cols: list[str], pos_col: str = "pos")
 def dense_ids(keys: DataFrame, key_col: str = "node_key", id_col: str = "node_id") -> DataFrame:
     """Distinct keys -> dense ids 0..n-1 in key order (deterministic, same on any partitioning).
 
-    The finished index is written once: it is joined to both edge ends."""
-    distinct = keys.select(key_col).distinct()
-    return materialize(global_positions(distinct, [key_col], id_col), "dense-ids")
+    The tagged positions are written once; every reader of the index adds the broadcast offsets to them."""
+    return global_positions(keys.select(key_col).distinct(), [key_col], id_col)
 
 
 def exact_quantile_value(df: DataFrame, value_col: str, q: float) -> DataFrame:

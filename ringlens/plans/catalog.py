@@ -22,8 +22,11 @@ from ringlens.operators import heat as H
 from ringlens.operators import pic as P
 from ringlens.operators import rings as R
 from ringlens.operators import summary as S
-from ringlens.plans.runtime import scratch_path
+from ringlens.operators.ranking import global_positions
+from ringlens.plans.runtime import materialize, scratch_path
 from ringlens.sources import testgraphs as G
+from ringlens.sources.readers import read_edge_file
+from ringlens.sources.sinks import score_extract, write_csv
 from ringlens.sources.tables import load_table
 
 # Doubles whose magnitude reaches 1e7 are compared at 4 places, everything else at 6. Means of 2-decimal amounts
@@ -39,7 +42,7 @@ BIG = {
 }
 
 TIME_SLICE = ("1996-01-01 00:00:00", "1997-12-31 00:00:00")
-PI_STEPS = 3
+PI_STEPS = 6
 
 
 def _rd(df: DataFrame, places: int = 6, **overrides: int) -> DataFrame:
@@ -131,6 +134,54 @@ def q_weight_norm(spark, sf_dir):
     return _rd(co_supply_edges(spark, sf_dir))
 
 
+def _order_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One edge per order: customer to one of 97 depots, with the order's date and price."""
+    return load_table(spark, sf_dir, "orders").select(
+        F.concat(F.lit("C"), F.col("o_custkey").cast("string")).alias("payer"),
+        F.concat(F.lit("00"), F.pmod("o_orderkey", F.lit(97)).cast("string")).alias("depot"),
+        F.col("o_totalprice").alias("amount"), F.col("o_orderdate").alias("booked"), F.col("o_orderstatus").alias("status"),
+    )
+
+
+def q_time_slice_text(spark, sf_dir):
+    """A time slice of a CSV file, whose times are text."""
+    path = scratch_path(spark, "orders-csv")
+    write_csv(_order_edges(spark, sf_dir), path)
+    raw = read_edge_file(spark, path, "csv")
+    return _rd(E.prepare_edges(raw, "payer", "depot", "amount", "status", "booked", *TIME_SLICE))
+
+
+def q_file_formats(spark, sf_dir):
+    """The same edges read from CSV with another delimiter, JSON and Parquet: roles, repair and dedupe."""
+    edges = _order_edges(spark, sf_dir)
+    paths = {f: scratch_path(spark, f"orders-{f}") for f in ("csv", "json", "parquet")}
+    edges.write.option("header", "true").option("delimiter", ";").csv(paths["csv"])
+    edges.write.json(paths["json"])
+    edges.write.parquet(paths["parquet"])
+    out = None
+    for fmt, path in paths.items():
+        schema = "payer string, depot string, amount string, status string" if fmt == "json" else None
+        raw = read_edge_file(spark, path, fmt, True, ";", schema)
+        pairs = E.canonical_pairs(E.select_edge_roles(raw, "payer", "depot", "amount", "status"), "src_key", "dst_key")
+        part = pairs.select(F.lit(fmt).alias("format"), "*")
+        out = part if out is None else out.union(part)
+    return _rd(out)
+
+
+def q_dirty_edges(spark, sf_dir):
+    """Rows with null and blank keys, and null, malformed, NaN, infinite and negative weights; no label column."""
+    li = load_table(spark, sf_dir, "lineitem")
+    part = F.col("l_partkey").cast("string")
+    raw = li.select(
+        F.when(F.col("l_orderkey") % 7 == 0, F.lit(None)).when(F.col("l_orderkey") % 7 == 1, F.lit("   ")).otherwise(
+            F.concat(F.lit("  P"), part, F.lit(" "))).alias("from"),
+        F.when(F.col("l_suppkey") % 11 == 0, F.lit("")).otherwise(F.concat(F.lit("S"), F.col("l_suppkey").cast("string"))).alias("to"),
+        F.element_at(F.array(*[F.lit(x) for x in ("NaN", "12abc", None, "-5.5", "Infinity", "0")], F.col("l_quantity").cast("string")),
+                     (F.col("l_linenumber") % 7 + 1).cast("int")).alias("amount"),
+    )
+    return _rd(E.select_edge_roles(raw, "from", "to", "amount", "label"))
+
+
 # ---- clusters, scores, evaluation, summary ------------------------------------------------------------------
 
 def q_cluster_sizes(spark, sf_dir):
@@ -156,7 +207,7 @@ def q_intra_cross(spark, sf_dir):
 
 def q_flagged_volume(spark, sf_dir):
     run = ClusterRun(spark, sf_dir)
-    return _rd(C.flagged_volume(run.intra, run.scored))
+    return _rd(C.flagged_volume(run.scored))
 
 
 def q_node_results(spark, sf_dir):
@@ -173,7 +224,30 @@ def q_prf1(spark, sf_dir):
 
 def q_run_summary(spark, sf_dir):
     run = ClusterRun(spark, sf_dir)
-    return _rd(S.run_summary(run.edges, run.assign, run.intra, run.scored, run.results, run.evaluation))
+    return _rd(S.run_summary(run.edges, run.scored, run.results, run.evaluation))
+
+
+def _ranked(df: DataFrame, *order: str) -> DataFrame:
+    """Adds ``position``, the row's place in an ordered report, so that the check sees the order. A name with a minus is
+    descending."""
+    keys = {f"_k{i}": -F.col(o[1:]) if o.startswith("-") else F.col(o) for i, o in enumerate(order)}
+    return global_positions(df.withColumns(keys), list(keys), "position").drop(*keys)
+
+
+def q_score_extract(spark, sf_dir):
+    """The cluster-score report through its CSV sink."""
+    path = scratch_path(spark, "score-extract")
+    write_csv(score_extract(ClusterRun(spark, sf_dir).scored), path)
+    kinds = "cluster int, n_nodes long, n_edges long, internal_density double, coeff_variation double, fraud_score double, is_fraud_ring boolean, total_volume double"
+    return _rd(_ranked(spark.read.schema(kinds).option("header", "true").csv(path), "-fraud_score", "cluster"))
+
+
+def q_density_report(spark, sf_dir):
+    return _ranked(S.cluster_density_report(ClusterRun(spark, sf_dir).metrics), "-density", "n_nodes", "cluster")
+
+
+def q_ordered_assignments(spark, sf_dir):
+    return _ranked(S.ordered_assignments(ClusterRun(spark, sf_dir).assign), "cluster", "id")
 
 
 def q_label_breakdown(spark, sf_dir):
@@ -221,21 +295,50 @@ def q_power_iteration3(spark, sf_dir):
     return _rd(P.power_iteration(co_supply_edges(spark, sf_dir), PI_STEPS), v=9)
 
 
+PIC = ClusterConfig(pic_k=5, pic_max_iter=20)
+
+
+def _clustering_facts(edges: DataFrame, assignments: DataFrame) -> DataFrame:
+    """One row of what holds for every right clustering of the edges, whatever clusters k-means picks: each node is assigned
+    once, there are at most k clusters, and inner and cross edges make up all edges and all weight."""
+    assignments = materialize(assignments, "assignments")
+    nodes = assignments.agg(
+        F.count(F.lit(1)).alias("n_assigned"), F.count_distinct("id").alias("n_nodes"),
+        (F.count_distinct("cluster") <= PIC.pic_k).alias("clusters_within_k"), F.count_if(F.col("cluster").isNull()).alias("n_without"),
+    )
+    same, w = F.col("same_cluster"), F.col("weight")
+    split = C.enrich_edges(edges, assignments).agg(
+        (F.count_if(same) + F.count_if(~same)).alias("n_edges"),
+        (F.coalesce(F.sum(F.when(same, w)), F.lit(0.0)) + F.coalesce(F.sum(F.when(~same, w)), F.lit(0.0))).alias("total_volume"),
+    )
+    return _rd(split.select(*[nodes.select(c).scalar().alias(c) for c in nodes.columns], "*"))
+
+
 def q_pic_clusters(spark, sf_dir):
-    return P.run_pic(co_supply_edges(spark, sf_dir), ClusterConfig(pic_k=5, pic_max_iter=20))
+    edges = co_supply_edges(spark, sf_dir)
+    return _clustering_facts(edges, P.run_pic(edges, PIC))
 
 
 def q_pic_dataframe(spark, sf_dir):
     """The same clustering from the DataFrame power iteration and MLlib k-means (fixed 20 steps)."""
-    return P.dataframe_pic(co_supply_edges(spark, sf_dir), ClusterConfig(pic_k=5, pic_max_iter=20))
+    edges = co_supply_edges(spark, sf_dir)
+    return _clustering_facts(edges, P.dataframe_pic(edges, PIC))
 
 
 def q_pic_scores(spark, sf_dir):
-    """MLlib PIC on co-supply, then metrics and scores (the reference's main path)."""
+    """MLlib PIC on co-supply, then metrics, scores and flags (the reference's main path): what holds for all of them."""
     from ringlens.plans.runner import analyze_edges
 
-    cfg = ClusterConfig(pic_k=5, pic_max_iter=20)
-    return analyze_edges(co_supply_edges(spark, sf_dir), cfg)["scored"]
+    out = analyze_edges(co_supply_edges(spark, sf_dir), PIC)
+    cross = C.intra_cross_split(out["enriched"]).select("cross_edges").scalar()
+    flagged = (F.col("fraud_score") >= PIC.fraud_score_threshold) & (F.col("n_nodes") <= PIC.micro_cluster_max_size) & (
+        F.col("internal_density") >= PIC.min_internal_density)
+    return out["scored"].agg(
+        F.sum("n_nodes").alias("n_nodes"), (F.count(F.lit(1)) <= PIC.pic_k).alias("clusters_within_k"),
+        (F.sum("n_edges") + cross).alias("n_edges"), F.count_if(flagged != F.col("is_fraud_ring")).alias("wrong_flags"),
+        F.count_if(~F.col("fraud_score").between(0, 1)).alias("scores_out_of_range"),
+        F.max("volume_per_node_norm").alias("largest_volume_norm"),
+    )
 
 
 def q_planted_graph(spark, sf_dir):
@@ -246,9 +349,8 @@ def q_planted_graph(spark, sf_dir):
 
 # ---- ETL ----------------------------------------------------------------------------------------------------
 
-def write_raw_files(spark: SparkSession, sf_dir: str) -> tuple[str, str, str]:
-    """Raw transaction files derived from the tables, written as CSV to the shared folder:
-    edge list (customer -> supplier per line item), classes and header-less features (nation as time step)."""
+def raw_transactions(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Edge list (customer -> supplier per line item), classes and features (nation as time step) from the tables."""
     trades = G.trades(spark, sf_dir).select(F.col("src_key").alias("txId1"), F.col("dst_key").alias("txId2"))
     cust = load_table(spark, sf_dir, "customer")
     supp = load_table(spark, sf_dir, "supplier")
@@ -266,6 +368,12 @@ def write_raw_files(spark: SparkSession, sf_dir: str) -> tuple[str, str, str]:
     features = cust.select(
         F.concat(F.lit("C"), F.col("c_custkey").cast("string")), F.col("c_nationkey"), F.col("c_acctbal")
     ).union(supp.select(F.concat(F.lit("S"), F.col("s_suppkey").cast("string")), F.col("s_nationkey"), F.col("s_acctbal")))
+    return trades, classes, features
+
+
+def write_raw_files(spark: SparkSession, sf_dir: str) -> tuple[str, str, str]:
+    """The raw transactions as CSV files in the shared folder; the features have no header."""
+    trades, classes, features = raw_transactions(spark, sf_dir)
     paths = tuple(scratch_path(spark, n) for n in ("edgelist", "classes", "features"))
     trades.write.option("header", "true").csv(paths[0])
     classes.write.option("header", "true").csv(paths[1])
@@ -277,21 +385,28 @@ def _etl_inputs(spark, sf_dir):
     return X.read_raw_files(spark, *write_raw_files(spark, sf_dir))
 
 
+def _etl_tables(spark, sf_dir):
+    """The inputs of the ETL straight from the tables."""
+    edges, classes, features = raw_transactions(spark, sf_dir)
+    times = features.toDF("tx_id", "timestamp", "balance").select("tx_id", F.col("timestamp").cast("int"))
+    return edges.toDF("src_id", "dst_id"), classes.toDF("tx_id", "class"), times
+
+
 def q_etl_edges(spark, sf_dir):
     return X.prepare_transaction_edges(*_etl_inputs(spark, sf_dir))
 
 
 def q_edge_time_modes(spark, sf_dir):
-    return X.endpoint_times(*_etl_inputs(spark, sf_dir))
+    return X.endpoint_times(*_etl_tables(spark, sf_dir))
 
 
 def q_edge_label_rule(spark, sf_dir):
-    out = X.prepare_transaction_edges(*_etl_inputs(spark, sf_dir))
+    out = X.prepare_transaction_edges(*_etl_tables(spark, sf_dir))
     return out.groupBy("true_label").agg(F.count(F.lit(1)).alias("n_edges"))
 
 
 def q_etl_stats(spark, sf_dir):
-    out = X.prepare_transaction_edges(*_etl_inputs(spark, sf_dir))
+    out = X.prepare_transaction_edges(*_etl_tables(spark, sf_dir))
     path = scratch_path(spark, "etl-out")
     out.write.parquet(path)
     return X.dataset_stats(spark.read.parquet(path), exact=True)
@@ -314,6 +429,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "confusion": q_confusion,
     "prf1": q_prf1,
     "run_summary": q_run_summary,
+    "score_extract": q_score_extract,
+    "density_report": q_density_report,
+    "ordered_assignments": q_ordered_assignments,
+    "time_slice_text": q_time_slice_text,
+    "file_formats": q_file_formats,
+    "dirty_edges": q_dirty_edges,
     "label_breakdown": q_label_breakdown,
     "degree_top10": q_degree_top10,
     "graph_density": q_graph_density,

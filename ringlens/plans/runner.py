@@ -24,11 +24,12 @@ from ringlens.sources.readers import read_edge_file
 
 
 def analyze_edges(edges: DataFrame, cfg: ClusterConfig | None = None, clusterer: str = "mllib",
-                  assignments: DataFrame | None = None) -> dict[str, DataFrame]:
+                  assignments: DataFrame | None = None, labelled_only: bool = False) -> dict[str, DataFrame]:
     """Cluster canonical edges (unless ``assignments`` are given) and derive every cluster table."""
     cfg = cfg or ClusterConfig()
     started = time.time()
-    if assignments is None:
+    own = assignments is None
+    if own:
         if clusterer == "mllib":
             assignments = P.run_pic(edges, cfg)
         elif clusterer == "dataframe":
@@ -41,9 +42,10 @@ def analyze_edges(edges: DataFrame, cfg: ClusterConfig | None = None, clusterer:
     intra = C.intra_cluster_edges(enriched)
     metrics = C.cluster_metrics_from_parts(C.cluster_sizes(assignments), C.cluster_edge_stats(intra))
     scored = C.score_clusters(metrics, cfg)
-    results, evaluation = V.evaluate_predictions(edges, assignments, scored)
-    summary = S.run_summary(edges, assignments, intra, scored, results, evaluation).withColumn(
-        "elapsed_seconds", F.lit(round(elapsed, 2))
+    results, evaluation = V.evaluate_predictions(edges, assignments, scored, labelled_only=labelled_only)
+    # the number of clusters is bounded by k only if they were made here
+    summary = S.run_summary(edges, scored, results, evaluation, list_ids=own).withColumns(
+        {"elapsed_seconds": F.lit(round(elapsed, 2)), "pic_partitions": F.lit(cfg.pic_partitions)}
     )
     return {
         "assignments": assignments,
@@ -84,7 +86,10 @@ def run_pipeline(
     label_col = label_col or None
     time_col = time_col or None
     if input_df is None and input_path:
-        input_df = read_edge_file(spark, input_path, input_format, input_has_header, input_delimiter)
+        roles = [c for c in (source_col, destination_col, weight_col, label_col, time_col) if c]
+        # JSON without a schema would be read once just to infer one: the role columns are read as text instead
+        schema = ", ".join(f"`{c}` string" for c in dict.fromkeys(roles)) if input_format.lower() == "json" else None
+        input_df = read_edge_file(spark, input_path, input_format, input_has_header, input_delimiter, schema)
     if input_df is not None:
         edges = E.prepare_edges(
             input_df, source_col, destination_col, weight_col, label_col, time_col, time_min, time_max,
@@ -106,5 +111,5 @@ def run_pipeline(
         )
         edges = materialize(heat["edges"], "annealed-edges")
     out["edges"] = edges
-    out.update(analyze_edges(edges, cfg.cluster, clusterer))
+    out.update(analyze_edges(edges, cfg.cluster, clusterer, labelled_only=cfg.labelled_only))
     return out

@@ -58,8 +58,10 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh path under the shared folder."""
-    return f"{shared_dir(spark)}/ringlens/{name}-{uuid.uuid4().hex}"
+    """A fresh path under the shared folder, which :func:`release_scratch` deletes."""
+    path = f"{shared_dir(spark)}/ringlens/{name}-{uuid.uuid4().hex}"
+    _WRITTEN.setdefault(id(spark.sparkContext), []).append(path)
+    return path
 
 
 def materialize(df: DataFrame, name: str = "table") -> DataFrame:
@@ -71,7 +73,6 @@ def materialize(df: DataFrame, name: str = "table") -> DataFrame:
     spark = df.sparkSession
     path = scratch_path(spark, name)
     df.write.mode("errorifexists").parquet(path)
-    _WRITTEN.setdefault(id(spark.sparkContext), []).append(path)
     return spark.read.parquet(path)
 
 
@@ -84,11 +85,3 @@ def release_scratch(spark: SparkSession) -> int:
         hp = jvm.org.apache.hadoop.fs.Path(p)
         hp.getFileSystem(conf).delete(hp, True)
     return len(paths)
-
-
-def shuffle_partitions(spark: SparkSession) -> int:
-    value = spark.conf.get("spark.sql.shuffle.partitions", "200")
-    try:
-        return max(1, int(value))
-    except ValueError:  # "auto" on some platforms
-        return max(1, spark.sparkContext.defaultParallelism)

@@ -11,9 +11,9 @@ SCORE_EXTRACT_COLUMNS = [
     "n_edges",
     "internal_density",
     "coeff_variation",
-    "volume_per_node_norm",
     "fraud_score",
     "is_fraud_ring",
+    "total_volume",
 ]
 
 
