@@ -63,6 +63,16 @@ def _any_in(text: Column, found: list[str]) -> Column:
     return reduce(Column.__or__, [F.contains(text, F.lit(f" {b} ")) for b in found], F.lit(False))
 
 
+def _may_have(lower: Column, found: list[str]) -> Column:
+    """Whether a lower-case text can have one of the bigrams, from the text as it is: a long word of theirs occurs in it, or
+    the two words with only separators between them."""
+    longest = {max(b.split(), key=lambda w: (len(w), w)) for b in found if max(map(len, b.split())) >= 5}
+    words = [w for w in sorted(longest) if not any(v != w and v in w for v in longest)]
+    short = [r"[^\p{L}\p{N}]+".join(b.split()) for b in found if max(map(len, b.split())) < 5]
+    tests = [F.contains(lower, F.lit(w)) for w in words] + [lower.rlike(x) for x in short]
+    return reduce(Column.__or__, tests, F.lit(False))
+
+
 def bigrams(words: Column) -> Column:
     """The distinct pairs of neighbouring words."""
     return F.when(
@@ -90,7 +100,8 @@ def license_scan(
     signs = sorted({b for pairs in forms.values() for b in signals(pairs, threshold)})
 
     def matches(unit: Column) -> Column:
-        pairs = bigrams(F.split(F.trim(unit), " "))
+        # bound to a lambda's variable, the words are split once and not for every bigram
+        pairs = F.element_at(F.transform(F.array(F.split(F.trim(unit), " ")), bigrams), 1)
 
         def against(p: Column) -> Column:
             size = F.size(p)
@@ -111,7 +122,9 @@ def license_scan(
         F.array_distinct(F.concat(F.array("whole"), F.transform(parts, normalised))), lambda u: _any_in(u, signs)
     )
     found = (
-        docs.withColumn("whole", normalised(text))
+        docs.withColumn("lower", F.lower(text))
+        # most texts have no word of a signal and are not normalised
+        .withColumn("whole", F.when(_may_have(F.col("lower"), signs), normalised(F.col("lower"))).otherwise(F.lit("")))
         .withColumn("units", F.when(_any_in(F.col("whole"), signs), units).otherwise(F.array().cast("array<string>")))
         .select("doc_id", F.flatten(F.transform("units", matches)).alias("hits"))
     )
