@@ -14,4 +14,5 @@ def test_entry_returns_scored_clusters(spark):
 def test_registry_shape():
     q, sql = ent.queries(), ent.oracle_sql()
     assert set(sql) <= set(q)
-    assert set(q) - set(sql) == {"pic_clusters", "pic_dataframe", "pic_scores"}
+    # the llm queries that SQL cannot express are checked in tests/llm
+    assert {n for n in set(q) - set(sql) if not n.startswith("op") and n != "pipeline"} == set()
