@@ -14,6 +14,21 @@ BROADCAST_ROWS = 200_000
 WORD_PATTERN = r"[^\x20\x09-\x0D]+"
 
 
+# Bytes of an Arrow batch between Spark and its Python workers, so that a batch of very long texts stays small.
+BATCH_BYTES = 4 << 20
+_BATCH_CONF = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
+def small_batches(df: DataFrame) -> DataFrame:
+    """``df``; its session sends Arrow batches of at most ``BATCH_BYTES`` from now on, unless it was set to less.
+
+    Spark's own limit, 64 MB, is held several times over by an executor and its workers."""
+    conf = df.sparkSession.conf
+    if int(str(conf.get(_BATCH_CONF)).rstrip("b")) > BATCH_BYTES:
+        conf.set(_BATCH_CONF, str(BATCH_BYTES))
+    return df
+
+
 def broadcast_checked(df: DataFrame, rows: int, max_rows: int = BROADCAST_ROWS) -> DataFrame:
     """``df`` marked for broadcast if its counted ``rows`` are within the bound, else left to a shuffled join."""
     return F.broadcast(df) if rows <= max_rows else df

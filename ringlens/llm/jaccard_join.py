@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ringlens.llm.common import broadcast_checked, connected_components, only_columns
+from ringlens.llm.common import broadcast_checked, connected_components, only_columns, small_batches
 from ringlens.plans.runtime import materialize
 
 GROUPS = 256  # coordinates of a point
@@ -412,7 +412,7 @@ def jaccard_components(documents: DataFrame, id_col: str = "doc_id", text_col: s
     Null and empty texts have the empty set and link with nothing. Equal sets link. Repeated ids are rows of their
     own; ids that are null are never a component's smallest id unless it has no other. An empty table gives none.
     """
-    docs = only_columns(documents, doc_id=id_col, text=text_col).withColumn("doc_id", F.col("doc_id").cast("long"))
+    docs = only_columns(small_batches(documents), doc_id=id_col, text=text_col).withColumn("doc_id", F.col("doc_id").cast("long"))
     shape = materialize(shapes(docs, width), "jaccard-shapes")
     node = shape.filter("n > 0").groupBy("node").agg(F.min("doc_id").alias("doc_id"))
     cell = materialize(shared_cells(members(docs, width, percent)), "jaccard-cells")

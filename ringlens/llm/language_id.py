@@ -18,13 +18,13 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ringlens.llm.common import only_columns
+from ringlens.llm.common import only_columns, small_batches
 
 DIM = 1 << 13
 SAMPLE = 1000  # labelled texts per language that the centroids are fitted on, about
 CLUSTERS = 4
 LANGUAGES = 512  # most languages; more is an error, as all centroids go to every task
-CHUNK_CHARS, CHUNK_TEXTS = 1 << 20, 256
+CHUNK_CHARS, CHUNK_TEXTS = 1 << 18, 64
 SLACK = 0.6  # a text is rejected below this times the lowest hundredth of the labelled texts of its length
 BINS = 24  # lengths by power of two
 UNKNOWN = "und"
@@ -33,8 +33,8 @@ UNKNOWN = "und"
 @lru_cache(maxsize=1)
 def _letters() -> tuple[np.ndarray, np.ndarray]:
     """By code point: 1 for letters; 1 for letters and the marks that belong to them."""
-    first = np.array([unicodedata.category(chr(i))[0] for i in range(0x110000)])
-    return first == "L", (first == "L") | (first == "M")
+    kind = np.fromiter((ord(unicodedata.category(chr(i))[0]) for i in range(0x110000)), np.uint8, 0x110000)
+    return kind == ord("L"), (kind == ord("L")) | (kind == ord("M"))
 
 
 def features(texts: list[str | None]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
@@ -118,7 +118,7 @@ def held_out(doc_id: Column) -> Column:
 
 def fit(docs: DataFrame, sample: int = SAMPLE, clusters: int = CLUSTERS) -> Model:
     """Fits on (doc_id, text, lang): rows with a language whose id is not null and not held out, about ``sample`` a language."""
-    known = docs.filter(F.col("lang").isNotNull() & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
+    known = small_batches(docs).filter(F.col("lang").isNotNull() & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
     counted = known.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).limit(LANGUAGES + 1).collect()
     if len(counted) > LANGUAGES:
         raise ValueError(f"more than {LANGUAGES} languages")
@@ -188,7 +188,7 @@ def identify(df: DataFrame, model: Model, text_col: str = "text", out_col: str =
             )
 
     judge = F.arrow_udf(run, "lang_pred string, score double, rejected boolean")
-    return df.withColumn(out_col, judge(F.col(f"`{text_col}`")))
+    return small_batches(df).withColumn(out_col, judge(F.col(f"`{text_col}`")))
 
 
 def language_id(

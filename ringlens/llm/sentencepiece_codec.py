@@ -15,16 +15,17 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ringlens.llm.common import small_batches
 from ringlens.llm.unigram import load_pieces, segmenter
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 
 
-def _lists(rows: list) -> pa.Array:
-    """int lists as one Arrow array, null for None."""
+def _lists(rows: list[bytes | None]) -> pa.Array:
+    """Runs of 32-bit ids as one Arrow array of lists, null for None."""
     offsets, values = [0], array("i")
     for r in rows:
-        values.extend(r or ())
+        values.frombytes(r or b"")
         offsets.append(len(values))
     out = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(np.frombuffer(values, np.int32), pa.int32()))
     return pa.ListArray.from_arrays(
@@ -41,10 +42,10 @@ def encode(df: DataFrame, text_col: str = "text", ids_col: str = "token_ids", mo
     def run(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
         seg = segmenter(table)
         for column in texts:
-            yield _lists([None if t is None else seg.encode(t) for t in column.to_pylist()])
+            yield _lists([None if t is None else seg.encode_bytes(t) for t in column.to_pylist()])
 
     ids = F.arrow_udf(run, "array<int>")
-    return df.withColumn(ids_col, ids(F.col(f"`{text_col}`")))
+    return small_batches(df).withColumn(ids_col, ids(F.col(f"`{text_col}`")))
 
 
 def decode(df: DataFrame, ids_col: str = "token_ids", text_col: str = "decoded", model: str = MODEL) -> DataFrame:
@@ -57,4 +58,4 @@ def decode(df: DataFrame, ids_col: str = "token_ids", text_col: str = "decoded",
             yield pa.array([None if r is None else seg.decode(r) for r in ids.to_pylist()], pa.string())
 
     text = F.arrow_udf(run, "string")
-    return df.withColumn(text_col, text(F.col(f"`{ids_col}`")))
+    return small_batches(df).withColumn(text_col, text(F.col(f"`{ids_col}`")))

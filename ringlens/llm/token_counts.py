@@ -8,6 +8,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ringlens.llm.common import small_batches
 from ringlens.llm.sentencepiece_codec import MODEL
 from ringlens.llm.unigram import load_pieces, segmenter
 
@@ -24,4 +25,4 @@ def token_counts(df: DataFrame, text_col: str = "text", count_col: str = "n_toke
             yield pa.array([seg.count(t) if t else 0 for t in column.to_pylist()], pa.int64())
 
     count = F.arrow_udf(run, "long")
-    return df.withColumn(count_col, count(F.col(f"`{text_col}`")))
+    return small_batches(df).withColumn(count_col, count(F.col(f"`{text_col}`")))

@@ -8,6 +8,7 @@ is strictly better than every match. Scores add up in double precision.
 from __future__ import annotations
 
 import re
+from array import array
 from dataclasses import dataclass
 
 SPACE = "▁"
@@ -67,7 +68,7 @@ def load_pieces(path: str) -> Pieces:
 class Recent(dict):
     """A map filled by ``make`` that forgets what was not asked for lately: it holds two generations of ``limit``."""
 
-    def __init__(self, make, limit: int = 150_000, longest: int = 64):
+    def __init__(self, make, limit: int = 80_000, longest: int = 64):
         super().__init__()
         self.make, self.limit, self.longest, self.old = make, limit, longest, {}
 
@@ -115,7 +116,8 @@ class Segmenter:
     def _matches(self, chunk: str):
         return self.trie.iter(chunk) if self.table.pieces else ()
 
-    def _ids(self, chunk: str) -> tuple[int, ...]:
+    def _ids(self, chunk: str) -> bytes:
+        """The ids of a chunk as 32-bit integers, which take a fraction of the memory of a tuple."""
         n, unknown = len(chunk), self.unknown
         best: list[float | None] = [0.0] + [None] * n
         last = [(0, 0)] * (n + 1)  # start of the last piece on the best path and its id; -1 is unknown
@@ -151,7 +153,7 @@ class Segmenter:
             elif not out or out[-1] != self.table.unknown_id:  # a run of unknown characters is one piece
                 out.append(self.table.unknown_id)
             n = start
-        return tuple(reversed(out))
+        return array("i", reversed(out)).tobytes()
 
     def _count(self, chunk: str) -> int:
         """Number of pieces on the best path: the same search, which carries the count instead of back links."""
@@ -183,13 +185,20 @@ class Segmenter:
         close(n)
         return count[n]
 
-    def encode(self, text: str) -> list[int]:
-        out: list[int] = []
-        for ids in map(self.ids.__getitem__, self.chunks(text)):
-            if not self.table.byte_ids and out and ids[0] == out[-1] == self.table.unknown_id:
+    def encode_bytes(self, text: str) -> bytes:
+        """The ids of a text as 32-bit integers."""
+        found = map(self.ids.__getitem__, self.chunks(text))
+        if self.table.byte_ids:
+            return b"".join(found)
+        out = array("i")
+        for ids in map(lambda b: array("i", b), found):
+            if out and ids[0] == out[-1] == self.table.unknown_id:
                 ids = ids[1:]  # a run of unknown characters over several chunks
             out.extend(ids)
-        return out
+        return out.tobytes()
+
+    def encode(self, text: str) -> list[int]:
+        return array("i", self.encode_bytes(text)).tolist()
 
     def count(self, text: str) -> int:
         if not self.table.byte_ids:  # runs of unknown characters can cross chunks

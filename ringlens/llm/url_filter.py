@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ringlens.llm.common import only_columns
+from ringlens.llm.common import only_columns, small_batches
 from ringlens.plans.runtime import materialize
 
 FIRST_RATE, FIRST_HASHES = 0.01, 7
@@ -153,7 +153,7 @@ def url_filter(pages: DataFrame, rules: DataFrame, id_col: str = "page_id", url_
         F.max(F.size(F.split("host", r"\."))).alias("labels"), F.collect_set(F.length("path")).alias("lengths")
     ).first()
     host, path = host_and_path(F.col("url"))
-    urls = only_columns(pages, page_id=id_col, url=url_col).select("page_id", host.alias("host"), path.alias("path"))
+    urls = only_columns(small_batches(pages), page_id=id_col, url=url_col).select("page_id", host.alias("host"), path.alias("path"))
     if not shape["labels"]:
         return urls.withColumns({"rule": F.lit(None).cast("string"), "verdict": F.lit("allow")})
     urls = urls.withColumn("keys", candidate_keys(F.col("host"), F.col("path"), shape["labels"], sorted(shape["lengths"])))
