@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ringlens.llm.common import broadcast_checked, connected_components, only_columns
+from ringlens.llm.common import broadcast_checked, connected_components, only_columns, small_batches
 from ringlens.plans.runtime import materialize
 
 SHARD = 1024
@@ -71,9 +71,10 @@ def shards(nodes: DataFrame, overlap: int) -> DataFrame:
     def nearest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             shard, node, vec = ([], [], [])
-            rows = pd.DataFrame({k: b.column(k).to_pylist() for k in ("shard", "node", "vec", "pivots")})
+            rows = pd.DataFrame({k: b.column(k).to_pylist() for k in ("shard", "node", "vec")})
             for name, group in rows.groupby("shard"):
-                near = np.argsort(-(_unit(list(group["vec"])) @ _unit(list(group["pivots"].iloc[0])).T), axis=1, kind="stable")
+                pivot = _unit(b.column("pivots")[int(group.index[0])].as_py())  # the same in all rows of a shard
+                near = np.argsort(-(_unit(list(group["vec"])) @ pivot.T), axis=1, kind="stable")
                 for j in range(min(overlap, near.shape[1])):
                     shard += [(name, int(r)) for r in near[:, j]]
                     node += list(group["node"])
@@ -257,7 +258,7 @@ def embedding_components(
     empty and zero vectors and those with null or non-finite components link with nothing, nor do vectors of different length. Equal
     vectors link. Repeated ids are rows of their own. An empty table gives none.
     """
-    rows, nodes = nodes_of(only_columns(vectors, vec_id=id_col, embedding=vector_col, label=label_col).withColumn("vec_id", F.col("vec_id").cast("long")))
+    rows, nodes = nodes_of(only_columns(small_batches(vectors), vec_id=id_col, embedding=vector_col, label=label_col).withColumn("vec_id", F.col("vec_id").cast("long")))
     for overlap in OVERLAPS:
         links = near_pairs(nodes, reach, overlap)
         recall = audit(nodes, links, reach)
