@@ -161,8 +161,9 @@ def with_next(docs: DataFrame) -> DataFrame:
         at = [i / steps for i in range(1, steps)]
         found = docs.agg(F.percentile_approx("doc_id", at, 10 * steps)).first()[0]
         bounds = sorted(set(found or ()))
-    rows = keyed.withColumn("bucket", _bucket(bounds)).withColumn("print", fingerprint(F.col("text")))
-    first = keyed.withColumn("bucket", _bucket(bounds)).groupBy("bucket").agg(
+    placed = keyed.withColumn("bucket", _bucket(bounds))
+    rows = placed.withColumn("print", fingerprint(F.col("text")))
+    first = placed.groupBy("bucket").agg(
         F.min(F.struct(F.col("doc_id").isNull().alias("absent"), "doc_id", "tie")).alias("first")
     )
     # a row per bucket, of which there are at most STEPS ** 2 + 1
@@ -172,8 +173,9 @@ def with_next(docs: DataFrame) -> DataFrame:
         F.coalesce(F.lag("bucket").over(order), F.max("bucket").over(order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))).alias("before"),
     )
     guests = (
-        rows.drop("bucket").join(F.broadcast(heads), rows["doc_id"].eqNullSafe(heads["head_id"]) & (rows["tie"] == heads["head_tie"]))
-        .groupBy(F.col("before").alias("bucket")).agg(*[F.first(c).alias(c) for c in ("doc_id", "text", "tie", "print")])
+        keyed.join(F.broadcast(heads), keyed["doc_id"].eqNullSafe(heads["head_id"]) & (keyed["tie"] == heads["head_tie"]))
+        .groupBy(F.col("before").alias("bucket")).agg(*[F.first(c).alias(c) for c in ("doc_id", "text", "tie")])
+        .withColumn("print", fingerprint(F.col("text")))
     )
     both = rows.withColumn("guest", F.lit(False)).unionByName(guests.withColumn("guest", F.lit(True)))
     line = Window.partitionBy("bucket").orderBy("guest", F.col("doc_id").asc_nulls_last(), "tie")
