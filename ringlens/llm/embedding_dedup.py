@@ -28,6 +28,7 @@ SHARD = 1024
 PIVOTS = 32  # that a shard is split by at once
 DEGREE, POOL, ALPHA = 16, 64, 1.2
 BEAM = 24
+STEP = 8  # nodes within range that a row expands at once
 SLACK = 0.05  # nodes this much below the range are expanded too
 MEDOIDS = 4
 OVERLAPS = (2, 3, 4)
@@ -170,21 +171,30 @@ def range_search(x: np.ndarray, lists: list[np.ndarray], reach: float) -> tuple[
     active = rows
     while len(active):
         score = np.where(todo[active], found[active], -np.inf)
-        best = np.argmax(score, axis=1)
-        top = score[np.arange(len(active)), best]
-        beam = min(BEAM, n) - 1
-        worst = -np.partition(-found[active], beam, axis=1)[:, beam] if n > 1 else np.zeros(len(active))
-        go = (top > -np.inf) & ((top >= worst) | (top >= reach - SLACK))
-        active, best = active[go], best[go]
+        top = score.max(1)
+        near = top >= reach - SLACK
+        go, far = near.copy(), np.flatnonzero(~near & (top > -np.inf))
+        if len(far):
+            beam = min(BEAM, n) - 1
+            go[far] = top[far] >= -np.partition(-found[active[far]], beam, axis=1)[:, beam]
+        active, score, near = active[go], score[go], near[go]
         if not len(active):
             break
-        todo[active, best] = False
-        nbr = table[best]
-        new = found[active[:, None], nbr] == -np.inf
-        sims = np.einsum("ad,awd->aw", y[active], y[nbr], optimize=True)
-        found[active[:, None], nbr] = sims
-        r, c = np.nonzero(new)
-        todo[active[r], nbr[r, c]] = True
+        few = min(STEP, n)
+        best = np.argpartition(-score, few - 1, axis=1)[:, :few]
+        value = np.take_along_axis(score, best, axis=1)
+        # within range several nodes are expanded at once, on the way there only the best
+        use = np.where(near[:, None], value >= reach - SLACK, (value == value.max(1, keepdims=True)) & (value > -np.inf))
+        for k in range(few):
+            r = np.flatnonzero(use[:, k])
+            if len(r):
+                row, at = active[r], best[r, k]
+                todo[row, at] = False
+                nbr = table[at]
+                new = found[row[:, None], nbr] == -np.inf
+                found[row[:, None], nbr] = np.einsum("ad,awd->aw", y[row], y[nbr], optimize=True)
+                i, j = np.nonzero(new)
+                todo[row[i], nbr[i, j]] = True
     i, j = np.nonzero(found >= reach - 1e-4)
     return i[i < j], j[i < j]
 
