@@ -416,8 +416,7 @@ def jaccard_components(documents: DataFrame, id_col: str = "doc_id", text_col: s
     shape = materialize(shapes(docs, width), "jaccard-shapes")
     node = shape.filter("n > 0").groupBy("node").agg(F.min("doc_id").alias("doc_id"))
     cell = materialize(shared_cells(members(docs, width, percent)), "jaccard-cells")
-    stars = cell.select(F.explode(F.array("first", "before")).alias("u"), F.col("node").alias("v")).distinct()
-    stars = materialize(stars, "jaccard-stars")
+    stars = materialize(cell.select(F.col("first").alias("u"), F.col("node").alias("v")).distinct(), "jaccard-stars")
     involved = materialize(
         cell.select("node").union(cell.select("first")).distinct().join(node, "node"), "jaccard-involved"
     )
@@ -425,6 +424,15 @@ def jaccard_components(documents: DataFrame, id_col: str = "doc_id", text_col: s
     sets = materialize(token_sets(docs, wanted, width), "jaccard-sets")
     near = materialize(within_bound(stars, sets, percent), "jaccard-near")
     links = materialize(linked(near, sets, percent), "jaccard-links")
+    # of the chains only pairs that the stars have not put into one component are verified
+    found = connected_components(links)
+    at = [found.select(F.col("node").alias(k), F.col("component").alias(f"c_{k}")) for k in "uv"]
+    chain = cell.select(F.col("before").alias("u"), F.col("node").alias("v")).distinct().join(stars, ["u", "v"], "left_anti")
+    apart = F.coalesce("c_u", "u") != F.coalesce("c_v", "v")
+    chain = materialize(chain.join(at[0], "u", "left").join(at[1], "v", "left").filter(apart).select("u", "v"), "jaccard-chains")
+    near = materialize(within_bound(chain, sets, percent), "jaccard-near")
+    links = links.union(materialize(linked(near, sets, percent), "jaccard-links"))
+    stars = stars.union(chain)
     placed = materialize(open_cells(cell, connected_components(links)), "jaccard-open")
     rest = materialize(open_pairs(placed, sets, percent).join(stars, ["u", "v"], "left_anti"), "jaccard-rest")
     joined = connected_components(links.union(materialize(linked(rest, sets, percent), "jaccard-links")))
