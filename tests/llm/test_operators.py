@@ -226,6 +226,41 @@ def test_shards_split_a_large_group(spark, monkeypatch):
     assert {r.component_id for r in got if r.vec_id < 1000} == {0}
 
 
+def test_all_links_of_a_group_of_many_shards_are_counted(spark, monkeypatch):
+    monkeypatch.setattr(embedding_dedup, "SHARD", 32)
+    rnd = np.random.default_rng(11)
+    x = rnd.normal(size=32)
+    rows = [(i, [float(v) for v in x + rnd.normal(size=32) * 0.15], 1) for i in range(300)]
+    rows += [(1000 + i, [float(v) for v in rnd.normal(size=32)], 1) for i in range(100)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")
+    want = [0] * len(rows)
+    for i, j in _brute_links(rows, 0.93):
+        want[i] += 1
+        want[j] += 1
+    assert sum(want) > 300 * 250
+    for overlaps in ((2, 3, 4), ()):  # without the search everything is compared
+        monkeypatch.setattr(embedding_dedup, "OVERLAPS", overlaps or (2,))
+        monkeypatch.setattr(embedding_dedup, "RECALL", 0.95 if overlaps else 1.1)
+        got = {r.vec_id: r for r in embedding_dedup.embedding_components(df).collect()}
+        assert [got[r[0]].n_links for r in rows] == want
+
+
+def test_no_shard_is_lost_and_equal_directions_are_dealt(spark, monkeypatch):
+    monkeypatch.setattr(embedding_dedup, "SHARD", 32)
+    rnd = np.random.default_rng(12)
+    x = rnd.normal(size=8)
+    rows = [(i, [float(v) for v in x * (i + 1)], 1) for i in range(200)]
+    rows += [(1000 + i, [float(v) for v in rnd.normal(size=8)], 1) for i in range(300)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")
+    _, nodes = embedding_dedup.nodes_of(df)
+    placed, whole = embedding_dedup.shards(nodes, 2)
+    assert placed.groupBy("shard").count().agg(F.max("count")).first()[0] <= 32
+    main = placed.filter("main").union(whole.filter("main"))
+    assert main.count() == main.select("node").distinct().count() == nodes.count() == 500
+    got = {r.vec_id: r for r in embedding_dedup.embedding_components(df).collect()}
+    assert all(got[i].component_id == 0 and got[i].n_links >= 199 for i in range(200))
+
+
 # ---------------------------------------------------------------- op 5
 
 
