@@ -379,6 +379,40 @@ def test_trees_learn_the_format():
     assert _redact("call +1 555 123 4567 now", [(5, 3, 20)]) == "call [PHONE] now"
 
 
+def test_trees_add_forms_that_no_base_rule_lists(spark):
+    rnd = random.Random(5)
+    words = "the river runs along old walls and then some people went home".split()
+
+    def some(n):
+        return " ".join(rnd.choice(words) for _ in range(n))
+
+    def card():
+        d = "4" + "".join(str(rnd.randint(0, 9)) for _ in range(14))
+        return next(d + str(i) for i in range(10) if pii.luhn(d + str(i)))
+
+    def phone():
+        return f"({rnd.randint(200, 999)}) {rnd.randint(200, 999)}-{rnd.randint(1000, 9999)}"
+
+    make = [lambda: f"{rnd.choice(words)}.{rnd.randint(1, 99)}@mail.example.com", card, lambda: f"+1 {phone()}"]
+    rows = [(i, f"{some(6)} {make[i % 3]()} {some(5)}") for i in range(900)]
+    wanted = {}
+    for i in range(30):
+        number = card()
+        for k, (kind, form) in enumerate((("phone", phone()[1:].replace(") ", ".").replace("-", ".")), ("phone", phone()), ("card", ".".join(number[j : j + 4] for j in range(0, 16, 4))), ("email", f"{rnd.choice(words)}@exämple.com"))):
+            before = some(4)
+            rows.append((1000 + 10 * i + k, f"{before} {form} {some(4)}"))
+            wanted[rows[-1][0]] = f"{kind}:{len(before) + 1}:{len(before) + 1 + len(form)}"
+        for k, clean in enumerate((str(rnd.randint(10**9, 10**10)), f"2021-03-{10 + i % 20} 10:30", f"3.{rnd.randint(10**9, 10**10)}", "4111.1111.1111.1112", "user@localhost"), 4):
+            rows.append((1000 + 10 * i + k, f"{some(4)} {clean} {some(4)}"))
+            wanted[rows[-1][0]] = ""
+    got = {r.doc_id: r.spans for r in pii.personal_data(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    hit = [got[i] == w for i, w in wanted.items() if w]
+    assert sum(hit) >= 0.9 * len(hit), [(got[i], w) for i, w in wanted.items() if w and got[i] != w][:9]
+    wrong = [got[i] for i, w in wanted.items() if not w and got[i]]
+    base = sum(bool(pii.base_spans(t)) for i, t in rows if wanted.get(i) == "")
+    assert len(wrong) <= base + 1, [(t, got[i]) for i, t in rows if wanted.get(i) == "" and got[i]][:9]
+
+
 # ---------------------------------------------------------------- op 9
 
 
