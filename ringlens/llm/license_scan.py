@@ -1,11 +1,15 @@
 """License scan: normalised units of a text against licence templates by Dice coefficient, in DataFrame functions only.
 
-Units are the whole text, its paragraphs (between blank lines) and its lines. Text is normalised to lower-case words of letters
+Units are the whole text, its paragraphs (between blank lines), its lines and windows of its words (for notices inside a longer line
+or wrapped over several). Text is normalised to lower-case words of letters
 and digits. The Dice coefficient of a unit and a template is 2 |A and B| / (|A| + |B|) over their sets of word bigrams.
 
 Two exact bounds come first. A unit can only reach the threshold t with a template of b bigrams if it has between
 t b / (2 - t) and (2 - t) b / t bigrams. And it then shares so many bigrams with the template that it must contain one of a few
 of them, the template's signals: texts and units without any signal are not looked at further.
+
+Windows begin and end with a bigram of the template, as others at an end only lower the coefficient, have at most the largest
+size, and hold at least as many places of template bigrams as a match needs.
 """
 
 from __future__ import annotations
@@ -47,10 +51,15 @@ def size_bounds(n: int, threshold: float) -> tuple[int, int]:
     return math.ceil(threshold * n / (2 - threshold) - 1e-9), math.floor((2 - threshold) * n / threshold + 1e-9)
 
 
+def least_common(n: int, threshold: float) -> int:
+    """Fewest bigrams that a unit which reaches the threshold shares with a template of ``n`` bigrams."""
+    return math.ceil(threshold * (n + size_bounds(n, threshold)[0]) / 2 - 1e-9)
+
+
 def signals(bigrams: list[str], threshold: float) -> list[str]:
     """Bigrams of a template, one of which is in every unit that reaches the threshold with it: one more than such a unit
     can lack. The longest are taken, as they are rare."""
-    least = math.ceil(threshold * (len(bigrams) + size_bounds(len(bigrams), threshold)[0]) / 2 - 1e-9)
+    least = least_common(len(bigrams), threshold)
     return sorted(bigrams, key=lambda b: (-len(b), b))[: len(bigrams) - least + 1]
 
 
@@ -81,6 +90,26 @@ def bigrams(words: Column) -> Column:
     ).otherwise(F.array().cast("array<string>"))
 
 
+def windows(words: Column, own: list[str], threshold: float) -> Column:
+    """The normalised windows of the words that can reach the threshold with a template of the bigrams ``own``."""
+    _, high = size_bounds(len(own), threshold)
+    least = least_common(len(own), threshold)
+    pairs = F.transform(F.sequence(F.lit(1), F.size(words) - 1), lambda i: F.struct(i.alias("i"), F.concat_ws(" ", F.get(words, i - 1), F.get(words, i)).alias("p")))
+    places = F.transform(F.filter(pairs, lambda x: F.array_contains(F.array(*[F.lit(b) for b in own]), x["p"])), lambda x: x["i"])
+
+    def around(at: Column) -> Column:
+        def from_place(k: Column) -> Column:  # k counts from 1, and so do the places in ``at``
+            start = F.get(at, k - 1)
+            ends = F.filter(F.slice(at, k + (least - 1), F.lit(high)), lambda e: e - start < high)
+            return F.transform(ends, lambda e: F.concat(F.lit(" "), F.array_join(F.slice(words, start, e - start + 2), " "), F.lit(" ")))
+
+        some = F.flatten(F.transform(F.sequence(F.lit(1), F.size(at) - (least - 1)), from_place))
+        return F.when(F.size(at) >= least, some).otherwise(F.array().cast("array<string>"))
+
+    bound = F.element_at(F.transform(F.array(places), around), 1)
+    return F.when(F.size(words) > 1, bound).otherwise(F.array().cast("array<string>"))
+
+
 def license_scan(
     documents: DataFrame, id_col: str = "doc_id", text_col: str = "text", templates: dict[str, str] | None = None,
     threshold: float = THRESHOLD,
@@ -119,12 +148,20 @@ def license_scan(
     text = F.coalesce("text", F.lit(""))
     parts = F.concat(F.split(text, r"\n\s*\n"), F.split(text, r"\n"))
     units = F.filter(
-        F.array_distinct(F.concat(F.array("whole"), F.transform(parts, normalised))), lambda u: _any_in(u, signs)
+        F.array_distinct(F.concat(F.array("whole"), F.transform(parts, normalised), "windows")), lambda u: _any_in(u, signs)
+    )
+    none = F.array().cast("array<string>")
+    inside = F.element_at(
+        F.transform(
+            F.array(F.split(F.trim("whole"), " ")),
+            lambda words: F.concat(*[F.when(_any_in(F.col("whole"), signals(own, threshold)), windows(words, own, threshold)).otherwise(none) for own in forms.values()]),
+        ), 1,
     )
     found = (
         docs.withColumn("lower", F.lower(text))
         # most texts have no word of a signal and are not normalised
         .withColumn("whole", F.when(_may_have(F.col("lower"), signs), normalised(F.col("lower"))).otherwise(F.lit("")))
+        .withColumn("windows", F.when(_any_in(F.col("whole"), signs), inside).otherwise(none))
         .withColumn("units", F.when(_any_in(F.col("whole"), signs), units).otherwise(F.array().cast("array<string>")))
         .select("doc_id", F.flatten(F.transform("units", matches)).alias("hits"))
     )

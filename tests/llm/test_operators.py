@@ -276,6 +276,15 @@ def test_licenses(spark):
     assert license_scan.license_scan(_docs(spark, rows).limit(0)).count() == 0
 
 
+def test_licenses_inside_lines_and_wrapped_over_lines(spark):
+    mpl = license_scan.TEMPLATES["MPL-2.0"].split()
+    header = "/* mod.c - part of a tool\n" + "\n".join(" * " + " ".join(mpl[i : i + 9]) for i in range(0, len(mpl), 9)) + "\n */\nint main(void) {"
+    rows = [(1, "A paper by the authors. Licensed under the Apache License, Version 2.0. See the file for the rest of it."), (2, header),
+            (3, "x y z\nThis work is licensed under the GNU\nGeneral Public License,\nversion 3.\nmore words"), (4, "the license of the work is licensed under nothing")]
+    got = sorted((r.doc_id, r.best_license, r.best_dice) for r in license_scan.license_scan(_docs(spark, rows)).collect())
+    assert got == [(1, "Apache-2.0", 1.0), (2, "MPL-2.0", 1.0), (3, "GPL-3.0", 1.0), (4, None, 0.0)]
+
+
 def test_signals_are_in_every_unit_that_matches():
     rnd = random.Random(1)
     for text in license_scan.TEMPLATES.values():
