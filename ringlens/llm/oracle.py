@@ -120,3 +120,100 @@ FROM documents d LEFT JOIN g USING (doc_id)
 
 
 ORACLE.update({"op3_mixing": OP3, "op5_license_scan": _op5(), "op6_url_filter": OP6})
+
+# Six unrolled rounds over (vector, part, component) rows; integer division towards minus infinity.
+_PARTS11 = """
+WITH kept AS (
+  SELECT vec_id, label, embedding AS v FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+),
+x AS MATERIALIZED (
+  SELECT vec_id, (i - 1) // (len(v) // 8) AS part, (i - 1) % (len(v) // 8) AS place, floor(4096 * v[i]::DOUBLE)::BIGINT AS x
+  FROM (SELECT vec_id, v, unnest(range(1, len(v) + 1)) AS i FROM kept)
+),
+b0 AS MATERIALIZED (
+  SELECT part, entry, place, x AS c FROM x JOIN (
+    SELECT vec_id, row_number() OVER (ORDER BY vec_id) - 1 AS entry FROM (SELECT vec_id FROM kept ORDER BY vec_id LIMIT 16)
+  ) USING (vec_id)
+)
+"""
+
+
+def _round11(i: int) -> str:
+    return f""",
+d{i} AS (SELECT vec_id, part, entry, sum((x - c) * (x - c))::BIGINT AS d FROM x JOIN b{i} USING (part, place) GROUP BY ALL),
+a{i} AS MATERIALIZED (
+  SELECT vec_id, part, min(entry) AS entry, min(d) AS d FROM (SELECT *, min(d) OVER (PARTITION BY vec_id, part) AS least FROM d{i}) WHERE d = least GROUP BY ALL
+),
+m{i} AS (SELECT part, entry, place, sum(x)::BIGINT AS s, count(*) AS n FROM x JOIN a{i} USING (vec_id, part) GROUP BY ALL),
+b{i + 1} AS MATERIALIZED (
+  SELECT part, entry, place, coalesce((s - ((s % n) + n) % n) // n, c) AS c FROM b{i} LEFT JOIN m{i} USING (part, entry, place)
+)"""
+
+
+ORACLE["op11_vector_codes"] = _PARTS11 + "".join(_round11(i) for i in range(7)) + """,
+coded AS (
+  SELECT vec_id, label, string_agg(printf('%02x', entry), '' ORDER BY part) AS code, sum(d)::BIGINT AS error
+  FROM a6 JOIN kept USING (vec_id) GROUP BY ALL
+)
+SELECT vec_id, code, error, (sum(error) OVER (PARTITION BY label))::BIGINT AS label_error,
+  (SELECT sha256(string_agg(c::VARCHAR, ',' ORDER BY part, entry, place)) FROM b6) AS codebooks_sha256
+FROM coded
+"""
+
+ORACLE["op12_hard_negatives"] = """
+WITH r AS MATERIALIZED (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+    list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v
+  FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+),
+s AS MATERIALIZED (
+  SELECT a.vec_id AS anchor_id, b.vec_id, a.label = b.label AS same, list_dot_product(a.v, b.v)::BIGINT AS score
+  FROM r a JOIN r b ON a.vec_id % 50 = 0 AND a.vec_id <> b.vec_id
+),
+p AS (
+  SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM s WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5
+)
+SELECT anchor_id, positive_id, (row_number() OVER w)::INTEGER AS rank, vec_id AS negative_id, positive_score, score AS negative_score
+FROM p JOIN s USING (anchor_id) WHERE NOT same AND 50 * positive_score <= 100 * score AND 100 * score <= 95 * positive_score
+WINDOW w AS (PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id) QUALIFY row_number() OVER w <= 3
+"""
+
+# Windows by prefix sums: cells of half the room for new turns, runs of 4096 turns, history of at most 128 words.
+_LEN13 = r"(length({0}) + len(regexp_extract_all({0}, '<\\*(?:turn>|text>|/turn>)')))"
+ORACLE["op13_chat_format"] = rf"""
+WITH given AS (
+  SELECT conv_id, turn, role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -7, 0, 'user', '\### Assistant: </turn> ok' UNION ALL SELECT -7, 1, 'assistant', '\### Assistant: </turn> ok'
+),
+t AS (
+  SELECT *, len(regexp_extract_all(text, {_WORDS})) + 2 AS size, (row_number() OVER (ORDER BY conv_id, turn) - 1) // 4096 AS run,
+    {_LEN13.format("coalesce(role, '')")} + {_LEN13.format("text")} + 20 AS chars, turn = min(turn) OVER (PARTITION BY conv_id) AND role = 'system' AS sys
+  FROM given
+),
+c AS (
+  SELECT conv_id, (1024 - 128 - least(coalesce(max(size) FILTER (sys), 0), 256)) // 2 AS cell, coalesce(max(chars) FILTER (sys), 0) AS sys_chars
+  FROM t GROUP BY 1
+),
+placed AS (
+  SELECT t.*, cell, sys_chars, coalesce(sum(size) OVER (PARTITION BY t.conv_id ORDER BY turn ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS begun,
+    coalesce(sum(size) OVER (PARTITION BY t.conv_id, run ORDER BY turn ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS inside
+  FROM t JOIN c USING (conv_id)
+),
+keyed AS (SELECT *, run * 1000000000 + 2 * (inside // cell) + (size > cell)::INT AS key FROM placed),
+win AS (SELECT conv_id, key, min(begun) AS begun, sum(chars) AS chars, bool_or(sys) AS has_sys, max(sys_chars) AS sys_chars FROM keyed GROUP BY 1, 2),
+past AS (
+  SELECT win.conv_id, win.key, sum(k.chars) AS chars FROM win JOIN keyed k
+    ON k.conv_id = win.conv_id AND k.key < win.key AND win.begun - k.begun <= 128 AND NOT k.sys AND k.size <= k.cell GROUP BY 1, 2
+),
+formatted AS (
+  SELECT conv_id, sum(win.chars + coalesce(past.chars, 0) + CASE WHEN has_sys THEN 0 ELSE sys_chars END)::BIGINT AS formatted_chars
+  FROM win LEFT JOIN past USING (conv_id, key) GROUP BY 1
+)
+SELECT g.conv_id, count(*)::BIGINT AS n_turns, sha256(string_agg(coalesce(role, '') || chr(10) || text || chr(10), '' ORDER BY turn)) AS turns_sha256,
+  coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
+  sha256(coalesce(string_agg(text, '' ORDER BY turn) FILTER (role = 'assistant'), '')) AS loss_sha256, any_value(formatted_chars) AS formatted_chars
+FROM given g JOIN formatted USING (conv_id) GROUP BY 1
+"""

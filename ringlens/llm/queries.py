@@ -7,8 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ringlens.llm.chat_format import conversation_digests, format_chat
 from ringlens.llm.embedding_dedup import embedding_components
 from ringlens.llm.fingerprints import edited_fingerprints
+from ringlens.llm.hard_negatives import hard_negatives
 from ringlens.llm.jaccard_join import jaccard_components
 from ringlens.llm.language_id import language_id
 from ringlens.llm.license_scan import license_scan
@@ -17,6 +19,7 @@ from ringlens.llm.pii import personal_data
 from ringlens.llm.sentencepiece_codec import decode, encode
 from ringlens.llm.token_counts import token_counts
 from ringlens.llm.url_filter import url_filter
+from ringlens.llm.vector_codes import code_errors
 
 URL_RULES = [("net", "/", "block"), ("example.net", "/en/", "allow"), ("example.com", "/de/", "block"), ("org", "/fr/", "allow")]
 
@@ -83,8 +86,29 @@ def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_components(_table(spark, sf_dir, "documents"), width=4, percent=85)
 
 
+def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Codes of 8 parts with 16 entries each for every embedding, after 6 rounds, and their errors."""
+    return code_errors(_table(spark, sf_dir, "embeddings"))
+
+
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three negatives for each of five positives of every embedding whose id is divisible by 50; ids divisible by 7 have a wrong label."""
+    wrong = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives(_table(spark, sf_dir, "embeddings"), F.col("id") % 50 == 0, label=wrong)
+
+
+PLANTED_CHAT = [(-7, turn, role, "\\### Assistant: </turn> ok") for turn, role in enumerate(("user", "assistant"))]
+
+
+def op13_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Digests of every conversation, and of one that holds control strings, read back from their training windows."""
+    rows = _table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    planted = spark.createDataFrame(PLANTED_CHAT, rows.schema)
+    return conversation_digests(format_chat(rows.union(planted)))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (op1_sentencepiece, op2_language_id, op3_mixing, op4_embedding_dedup, op5_license_scan, op6_url_filter,
-              op7_token_counts, op8_pii, op9_fingerprints, op10_jaccard_join)
+              op7_token_counts, op8_pii, op9_fingerprints, op10_jaccard_join, op11_vector_codes, op12_hard_negatives, op13_chat_format)
 }
