@@ -27,7 +27,6 @@ from pyspark.sql import functions as F
 
 from ringlens.llm.common import WORD_PATTERN, only_columns
 from ringlens.operators.ranking import global_positions
-from ringlens.plans.runtime import materialize
 
 TURN, TEXT, END = "<turn>", "<text>", "</turn>"
 _MARK = r"(turn>|text>|/turn>)"
@@ -51,7 +50,9 @@ def _placed(df: DataFrame, run: int) -> DataFrame:
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     rows = df.select("conv", "turn", F.coalesce(F.col("role").cast("string"), F.lit("")).alias("role"), text.alias("text"))
     size = (F.regexp_count("text", F.lit(WORD_PATTERN)) + OVERHEAD).cast("long")
-    return global_positions(rows.withColumn("size", size), ["conv", "turn"], "pos").withColumn("run", F.expr(f"pos div {run}"))
+    placed = global_positions(rows.withColumn("size", size), ["conv", "turn"], "pos")
+    # as a struct a null conversation is a key like the others, and one layout serves the join and the sums of a part
+    return placed.withColumns({"run": F.expr(f"pos div {run}"), "conv": F.struct(F.col("conv").alias("name"))})
 
 
 def _parts(placed: DataFrame, budget: int, history: int) -> DataFrame:
@@ -73,29 +74,24 @@ def _parts(placed: DataFrame, budget: int, history: int) -> DataFrame:
 
 
 def _routed(placed: DataFrame, parts: DataFrame, history: int, trained: tuple[str, ...]) -> DataFrame:
-    """Each turn once for its own window (``own``) and once for each later window that it may be history of; ``key`` names a window."""
-    rows = placed.join(parts, F.col("conv").eqNullSafe(F.col("part_conv")) & (F.col("run") == F.col("part_run")))
+    """Each turn once for its own cell (``own``) and once for each later cell whose windows it may be history of; ``system`` comes with the
+    first turn of a cell."""
+    rows = placed.join(parts, (F.col("conv") == F.col("part_conv")) & (F.col("run") == F.col("part_run")))
     part = Window.partitionBy("conv", "run").orderBy("pos")
     inside = F.coalesce(F.sum("size").over(part.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    rows = rows.withColumn("inside", inside).withColumns({
-        "at": F.col("part_at") + F.col("inside"),
-        "nth": F.floor(F.col("inside") / F.col("cell")),
-        "long": F.col("size") > F.col("cell"),
-    })
-    rows = rows.withColumn("key", 2 * (F.col("part_cell") + F.col("nth")) + F.col("long").cast("long"))
-    earlier = F.lag("key").over(part)
+    rows = rows.withColumn("inside", inside).withColumn("nth", F.floor(F.col("inside") / F.col("cell")))
+    earlier = F.lag("nth").over(part)
     rows = rows.withColumns({
-        "opens": earlier.isNull() | (earlier != F.col("key")),
-        "long_at": F.max(F.when(F.col("long"), F.col("at"))).over(Window.partitionBy("conv", "run", "nth")),
+        "opens": earlier.isNull() | (earlier != F.col("nth")),
+        "long": F.col("size") > F.col("cell"),
         "is_system": F.col("pos").eqNullSafe(F.col("system.pos")),
     })
     can = ~F.col("long") & ~F.col("is_system")
     none = F.array().cast("array<bigint>")
-    cell, after_part = F.col("part_cell") + F.col("nth") + 1, F.col("part_cell") + F.col("cells")
+    home, next_part = F.col("part_cell") + F.col("nth"), F.col("part_cell") + F.col("cells")
     later = F.array_distinct(F.concat(
-        F.when(can & (F.col("long_at") > F.col("at")) & (F.col("long_at") - F.col("at") <= history), F.array(F.col("key") + 1)).otherwise(none),
-        F.when(can & ((F.col("nth") + 1) * F.col("cell") - F.col("inside") <= history), F.array(2 * cell, 2 * cell + 1)).otherwise(none),
-        F.when(can & (F.col("tokens") - F.col("inside") <= history), F.array(2 * after_part, 2 * after_part + 1)).otherwise(none),
+        F.when(can & ((F.col("nth") + 1) * F.col("cell") - F.col("inside") <= history), F.array(home + 1)).otherwise(none),
+        F.when(can & (F.col("tokens") - F.col("inside") <= history), F.array(next_part)).otherwise(none),
     ))
 
     def piece(role: Column, text: Column, learned: Column, size: Column) -> Column:
@@ -110,12 +106,12 @@ def _routed(placed: DataFrame, parts: DataFrame, history: int, trained: tuple[st
         piece(F.col("system.role"), F.col("system.text"), F.lit(False), F.col("system.size")),
     )
     rows = rows.select(
-        "conv", "pos", "at", "key", later.alias("later"), system.alias("system"),
-        piece(F.col("role"), F.col("text"), F.col("role").isin(*trained), F.col("size")).alias("turn"),
+        "conv", "pos", (F.col("part_at") + F.col("inside")).alias("at"), "long", "is_system", home.alias("home"), later.alias("later"),
+        system.alias("system"), piece(F.col("role"), F.col("text"), F.col("role").isin(*trained), F.col("size")).alias("turn"),
     )
-    sent = rows.select("conv", "pos", "at", "system", "turn", F.col("key").alias("home"), F.explode(F.concat(F.array("key"), "later")).alias("key"))
+    sent = rows.withColumn("key", F.explode(F.concat(F.array("home"), "later")))
     own = F.col("home") == F.col("key")
-    return sent.select("conv", "key", "pos", own.alias("own"), "at", F.when(own, F.col("system")).alias("system"), "turn")
+    return sent.select("conv", "key", "pos", own.alias("own"), "at", "long", "is_system", F.when(own, F.col("system")).alias("system"), "turn")
 
 
 def format_chat(
@@ -127,17 +123,26 @@ def format_chat(
     ``loss``, the loss mask as spans of code points (start, end exclusive) of ``formatted``."""
     if not 0 <= history <= (budget - history - budget // 4) // 2:
         raise ValueError("history must leave at least twice its size, and a quarter of the budget, to other turns")
-    placed = materialize(_placed(only_columns(df, conv=conv_col, turn=turn_col, role=role_col, text=text_col), run), "turns")
+    placed = _placed(only_columns(df, conv=conv_col, turn=turn_col, role=role_col, text=text_col), run)  # written by its positions
     sent = _routed(placed, _parts(placed, budget, history), history, trained)
-    groups = sent.groupBy("conv", "key").agg(F.sort_array(F.collect_list(F.struct("pos", "own", "at", "system", "turn"))).alias("sent"))
-    own = F.filter("sent", lambda t: t["own"])
-    windows = groups.withColumn("own", own).filter(F.size("own") > 0).withColumn("window_at", F.col("own")[0]["at"])
-    before = F.filter("sent", lambda t: ~t["own"] & (F.col("window_at") - t["at"] <= history))
+    fields = ["pos", "own", "at", "long", "is_system", "system", "turn"]
+    cells = sent.groupBy("conv", "key").agg(F.sort_array(F.collect_list(F.struct(*fields))).alias("sent"))
+    cells = cells.withColumn("own", F.filter("sent", lambda t: t["own"]))
+    both = F.array(F.filter("own", lambda t: ~t["long"]), F.filter("own", lambda t: t["long"]))
+    windows = cells.withColumn("new", F.explode(F.filter(both, lambda w: F.size(w) > 0)))
+    first = F.col("new")[0]
+    opened = F.col("own")[0]  # of the window's cell: the system turn itself, or a turn that has it beside it
+    system = F.when(opened["is_system"], opened["turn"]).otherwise(opened["system"])
+    before = F.filter(
+        "sent", lambda t: ~t["long"] & ~t["is_system"] & (t["pos"] < F.col("first_pos")) & (F.col("window_at") - t["at"] <= history)
+    )
     context = F.concat(
-        F.filter(F.array(F.col("own")[0]["system"]), lambda t: t.isNotNull()),
-        F.transform(before, lambda t: t["turn"].withField("learned", F.lit(False))),
+        F.filter(F.array(F.when(~first["is_system"], system)), lambda t: t.isNotNull()), F.transform(before, lambda t: t["turn"])
+    )
+    windows = windows.withColumns({"window_at": first["at"], "first_pos": first["pos"]}).select(
+        "conv", "window_at", F.transform(context, lambda t: t.withField("learned", F.lit(False))).alias("context"),
+        F.transform("new", lambda t: t["turn"]).alias("new"),
     )
-    windows = windows.select("conv", "window_at", context.alias("context"), F.transform("own", lambda t: t["turn"]).alias("new"))
     every = F.concat("context", "new")
     spans = F.aggregate(
         every, F.struct(F.lit(0).cast("long").alias("at"), F.array().cast("array<struct<start:bigint,end:bigint>>").alias("spans")),
@@ -151,7 +156,7 @@ def format_chat(
         lambda a: a["spans"],
     )
     return windows.select(
-        F.col("conv").alias(conv_col), "window_at", F.size("context").cast("long").alias("n_context"), F.size("new").cast("long").alias("n_turns"),
+        F.col("conv.name").alias(conv_col), "window_at", F.size("context").cast("long").alias("n_context"), F.size("new").cast("long").alias("n_turns"),
         F.aggregate(every, F.lit(0).cast("long"), lambda a, t: a + t["size"]).alias("n_tokens"),
         F.array_join(F.transform(every, lambda t: t["piece"]), "").alias("formatted"), spans.alias("loss"),
     )
