@@ -19,6 +19,8 @@ from ringlens.operators import edges as E
 from ringlens.operators import etl as X
 from ringlens.operators import evaluate as V
 from ringlens.operators import heat as H
+from ringlens.operators import matching as M
+from ringlens.operators import one_dim as O
 from ringlens.operators import pic as P
 from ringlens.operators import rings as R
 from ringlens.operators import summary as S
@@ -28,6 +30,7 @@ from ringlens.sources import testgraphs as G
 from ringlens.sources.readers import read_edge_file
 from ringlens.sources.sinks import score_extract, write_csv
 from ringlens.sources.tables import load_table
+from ringlens.streaming import recluster, sliding
 
 # Doubles whose magnitude reaches 1e7 are compared at 4 places, everything else at 6. Means of 2-decimal amounts
 # are exact decimals that can end in a 5 at the 7th place (count divisible by 32), where the last bit of an
@@ -295,6 +298,82 @@ def q_power_iteration3(spark, sf_dir):
     return _rd(P.power_iteration(co_supply_edges(spark, sf_dir), PI_STEPS), v=9)
 
 
+STOP_EPSILON, STOP_MAX = 1e-5, 15
+
+
+def q_power_iteration_stop(spark, sf_dir):
+    """The vector at the step where the power iteration's acceleration falls under the threshold, and that step."""
+    edges = materialize(co_supply_edges(spark, sf_dir), "edges")
+    end = P.power_iteration_until(edges, STOP_EPSILON, STOP_MAX)
+    return _rd(end.vector.select("id", "v", F.lit(end.steps).alias("steps"), F.lit(end.converged).alias("converged")), v=9)
+
+
+def q_power_iteration_changes(spark, sf_dir):
+    """Change and acceleration of every step until then."""
+    edges = materialize(co_supply_edges(spark, sf_dir), "edges")
+    end = P.power_iteration_until(edges, STOP_EPSILON, STOP_MAX)
+    return _rd(spark.createDataFrame(end.history, "step int, change double, acceleration double"), change=12, acceleration=12)
+
+
+def q_choose_k(spark, sf_dir):
+    """The candidates for k rated on the vector after six steps."""
+    vector = materialize(P.power_iteration(co_supply_edges(spark, sf_dir), PI_STEPS), "embedding")
+    return _rd(O.rate_k(vector)[0].select("k", "score", "chosen"))
+
+
+MATCH_SPLIT, MATCH_JACCARD = "1998-04-01 00:00:00", 0.1
+
+
+def q_cluster_matching(spark, sf_dir):
+    """Clusters of suppliers by their main customers' nation in two halves of time: kept, born and died."""
+    before = materialize(G.main_customer_nations(spark, sf_dir, date_max=MATCH_SPLIT), "assignments")
+    after = materialize(G.main_customer_nations(spark, sf_dir, date_min=MATCH_SPLIT), "assignments")
+    return _rd(M.match_clusters(before, after, MATCH_JACCARD))
+
+
+# ---- streams ------------------------------------------------------------------------------------------------
+
+LATENESS = "5 days"
+
+
+def _deliver(spark, sf_dir, start):
+    """The transfers delivered one after the other to a stream, each delivery run to its end by ``start(edges, out, checkpoint)``; returns the
+    stream of windowed edges and the output path."""
+    feed = materialize(G.delivered_transfers(spark, sf_dir), "feed")
+    inbox, out, checkpoint = (scratch_path(spark, name) for name in ("inbox", "windows", "windows-checkpoint"))
+    edges = None
+    for delivery in range(len(G.DELIVERY_ENDS) + 1):
+        feed.filter(F.col("delivery") == delivery).drop("delivery").write.mode("append").parquet(inbox)
+        stream = spark.readStream.schema(feed.drop("delivery").schema).parquet(inbox)
+        edges = sliding.sliding_edges(stream, "payer", "depot", "amount", "status", "booked", lateness=LATENESS)
+        start(edges, out, checkpoint).awaitTermination()
+    return edges, out
+
+
+def q_sliding_graph(spark, sf_dir):
+    """The edges of all closed 7-day windows, one a day, from a stream with late and repeated deliveries."""
+    edges, out = _deliver(spark, sf_dir, sliding.start_sliding_graph)
+    return _rd(sliding.read_sliding_graph(spark, edges, out), volume=4)
+
+
+WINDOW_K = 3
+
+
+def _window_clusters(edges):
+    vector = materialize(P.power_iteration(edges, PI_STEPS), "window-embedding")
+    return {"nodes": vector.join(O.exact_clusters(vector, WINDOW_K), "id")}
+
+
+def q_reclustered_windows(spark, sf_dir):
+    """Embedding and cluster of the nodes of the newest closed window after each delivery, from the published tables."""
+
+    def start(edges, out, checkpoint):
+        return recluster.start_reclustering(edges, _window_clusters, out, checkpoint)
+
+    _, out = _deliver(spark, sf_dir, start)
+    return _rd(recluster.read_published(spark, out, "nodes").select("window_end", "node_key", "v", "cluster"), v=9)
+
+
 PIC = ClusterConfig(pic_k=5, pic_max_iter=20)
 
 
@@ -444,6 +523,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "heat_history": q_heat_history,
     "heat_frames": q_heat_frames,
     "power_iteration3": q_power_iteration3,
+    "power_iteration_stop": q_power_iteration_stop,
+    "power_iteration_changes": q_power_iteration_changes,
+    "choose_k": q_choose_k,
+    "cluster_matching": q_cluster_matching,
+    "sliding_graph": q_sliding_graph,
+    "reclustered_windows": q_reclustered_windows,
     "pic_clusters": q_pic_clusters,
     "pic_dataframe": q_pic_dataframe,
     "pic_scores": q_pic_scores,

@@ -250,6 +250,135 @@ def _power_iteration(steps: int) -> str:
 SELECT id, round(v / (SELECT sum(abs(v)) FROM v{steps}), 9) AS v FROM v{steps}"""
 
 
+def _power_iteration_stop(max_steps: int, epsilon: float, history: bool) -> str:
+    """Steps one by one with every vector scaled, their changes, and the first step whose acceleration is under the threshold."""
+    chain = _power_iteration(0).split("\nSELECT")[0]
+    ctes = ["x0 AS MATERIALIZED (SELECT id, v / (SELECT sum(v) FROM v0) AS v FROM v0)"]
+    for t in range(1, max_steps + 1):
+        ctes.append(f"y{t} AS MATERIALIZED (SELECT pa.i AS id, sum(pa.a * x.v) AS v FROM pa JOIN x{t - 1} x ON pa.j = x.id GROUP BY 1)")
+        ctes.append(f"x{t} AS MATERIALIZED (SELECT id, v / (SELECT sum(v) FROM y{t}) AS v FROM y{t})")
+    changes = " UNION ALL ".join(f"SELECT {t} AS step, sum(abs(a.v - b.v)) AS change FROM x{t} a JOIN x{t - 1} b USING (id)" for t in range(1, max_steps + 1))
+    ctes.append(f"ch AS ({changes})")
+    ctes.append("acc AS (SELECT step, change, abs(change - lag(change) OVER (ORDER BY step)) AS acceleration FROM ch)")
+    ctes.append(f"hit AS (SELECT min(step) AS step FROM acc WHERE acceleration <= {epsilon!r} / (SELECT count(*) FROM x0))")
+    ctes.append(f"fin AS (SELECT coalesce(step, {max_steps}) AS step, step IS NOT NULL AS converged FROM hit)")
+    if history:
+        last = "SELECT step, round(change, 12) AS change, round(acceleration, 12) AS acceleration FROM acc WHERE step <= (SELECT step FROM fin)"
+    else:
+        last = " UNION ALL ".join(
+            f"SELECT id, round(v, 9) AS v, {t} AS steps, (SELECT converged FROM fin) AS converged FROM x{t} WHERE (SELECT step FROM fin) = {t}"
+            for t in range(1, max_steps + 1)
+        )
+    return chain + ",\n" + ",\n".join(ctes) + "\n" + last
+
+
+def _best_runs(src: str, top: int) -> str:
+    """The best k-means clusters of the values of ``src`` (g, id, v) in each group g: for every k the runs of sorted values, found by trying every last
+    cluster after every best shorter division; values that are equal are not divided."""
+    ctes = [
+        f"kz AS MATERIALIZED (SELECT g, id, v, row_number() OVER (PARTITION BY g ORDER BY v, id) AS i, (v - min(v) OVER (PARTITION BY g)) / "
+        f"(max(v) OVER (PARTITION BY g) - min(v) OVER (PARTITION BY g)) AS z FROM {src})",
+        "kp AS MATERIALIZED (SELECT g, i, sum(z) OVER w AS s, sum(z * z) OVER w AS q, coalesce(lead(v) OVER w > v, true) AS free FROM kz "
+        "WINDOW w AS (PARTITION BY g ORDER BY i) UNION ALL SELECT DISTINCT g, 0, 0.0, 0.0, true FROM kz)",
+        "kc AS MATERIALIZED (SELECT a.g, a.i AS i, b.i AS j, greatest(b.q - a.q - pow(b.s - a.s, 2) / (b.i - a.i), 0.0) AS cost FROM kp a JOIN kp b "
+        "ON a.g = b.g AND a.i < b.i WHERE a.free)",
+        "kd1 AS MATERIALIZED (SELECT g, j, cost, [i] AS path FROM kc WHERE i = 0)",
+    ]
+    for k in range(2, top + 1):
+        ctes.append(
+            f"kd{k} AS MATERIALIZED (SELECT c.g, c.j, min(d.cost + c.cost) AS cost, arg_min(list_append(d.path, c.i), d.cost + c.cost) AS path "
+            f"FROM kd{k - 1} d JOIN kc c ON c.g = d.g AND c.i = d.j GROUP BY 1, 2)"
+        )
+    return ",\n".join(ctes)
+
+
+def _runs_of(k: int) -> str:
+    return (
+        f"SELECT z.g, z.id, z.v, {k} AS k, len(list_filter(d.path, lambda s: s < z.i)) - 1 AS cluster FROM kz z JOIN kd{k} d "
+        f"ON d.g = z.g AND d.j = (SELECT max(j) FROM kd1 m WHERE m.g = z.g)"
+    )
+
+
+def _choose_k(steps: int, ks: tuple[int, ...]) -> str:
+    chain, last = _power_iteration(steps).rsplit("\nSELECT", 1)
+    runs = " UNION ALL ".join(_runs_of(k) for k in ks)
+    return f"""{chain},
+emb AS MATERIALIZED (SELECT 0 AS g, id, v / (SELECT sum(abs(v)) FROM v{steps}) AS v FROM v{steps}),
+{_best_runs('emb', max(ks))},
+runs AS MATERIALIZED ({runs}),
+means AS (SELECT k, cluster, avg(v) AS mean FROM runs GROUP BY 1, 2),
+away AS (
+  SELECT r.k, r.id, min(abs(r.v - m.mean)) FILTER (m.cluster = r.cluster) AS a, min(abs(r.v - m.mean)) FILTER (m.cluster <> r.cluster) AS b
+  FROM runs r JOIN means m ON m.k = r.k GROUP BY 1, 2),
+rated AS (SELECT k, avg(CASE WHEN greatest(a, b) > 0 THEN (b - a) / greatest(a, b) ELSE 0.0 END) AS score FROM away GROUP BY 1)
+SELECT k, round(score, 6) AS score, k = first_value(k) OVER (ORDER BY round(score, 12) DESC, k) AS chosen FROM rated"""
+
+
+def _main_nations(name: str, where: str) -> str:
+    return f"""{name} AS (
+  SELECT id, min(nation) AS cluster FROM (
+    SELECT l_suppkey AS id, c_nationkey AS nation, count(*) AS n, max(count(*)) OVER (PARTITION BY l_suppkey) AS top
+    FROM lineitem JOIN orders ON o_orderkey = l_orderkey JOIN customer ON c_custkey = o_custkey WHERE {where} GROUP BY 1, 2)
+  WHERE n = top GROUP BY 1)"""
+
+
+def _cluster_matching(split: str, min_jaccard: float) -> str:
+    return f"""WITH {_main_nations('old', f"o_orderdate < TIMESTAMP '{split}'")},
+{_main_nations('new', f"o_orderdate >= TIMESTAMP '{split}'")},
+os AS (SELECT cluster, count(*) AS n FROM old GROUP BY 1), ns AS (SELECT cluster, count(*) AS n FROM new GROUP BY 1),
+ov AS (
+  SELECT a.cluster AS o, b.cluster AS w, count(*) AS common, any_value(os.n) AS old_n, any_value(ns.n) AS new_n,
+    count(*) / (any_value(os.n) + any_value(ns.n) - count(*)) AS j
+  FROM old a JOIN new b USING (id) JOIN os ON os.cluster = a.cluster JOIN ns ON ns.cluster = b.cluster GROUP BY 1, 2),
+kept AS (
+  SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY o ORDER BY j DESC, w) AS ro, row_number() OVER (PARTITION BY w ORDER BY j DESC, o) AS rw FROM ov)
+  WHERE ro = 1 AND rw = 1 AND j >= {min_jaccard!r})
+SELECT 'kept' AS status, o AS old_cluster, w AS new_cluster, common, old_n AS old_nodes, new_n AS new_nodes, round(j, 6) AS jaccard FROM kept
+UNION ALL SELECT 'died', cluster, NULL, 0, n, 0, 0.0 FROM os WHERE cluster NOT IN (SELECT o FROM kept)
+UNION ALL SELECT 'born', NULL, cluster, 0, 0, n, 0.0 FROM ns WHERE cluster NOT IN (SELECT w FROM kept)"""
+
+
+def _deliveries(ends: tuple[str, ...], lateness_days: int) -> str:
+    """The feed, the watermark before each delivery, the transfers that count, and the edges of every window."""
+    delivery = " + ".join(f"CAST(arrived >= TIMESTAMP '{end}' AS INTEGER)" for end in ends)
+    return f"""feed AS (
+  SELECT 'C' || o_custkey AS payer, 'D' || (o_orderkey % 97) AS depot, o_totalprice AS amount, o_orderdate AS booked, o_orderstatus AS status,
+    {delivery} AS delivery
+  FROM (SELECT *, o_orderdate + to_days(CAST(o_orderkey * 7 % 11 + CASE WHEN o_orderkey % 50 = 3 THEN 500 ELSE 0 END + again AS INTEGER)) AS arrived
+        FROM orders, (VALUES (0), (2)) x(again) WHERE again = 0 OR o_orderkey % 13 = 0)),
+marks AS (SELECT delivery, max(max(booked)) OVER (ORDER BY delivery) - to_days({lateness_days}) AS closes FROM feed GROUP BY 1),
+counted AS (
+  SELECT payer, depot, amount, status, booked, min(feed.delivery) AS delivery FROM feed LEFT JOIN marks m ON m.delivery = feed.delivery - 1
+  WHERE m.closes IS NULL OR booked > m.closes GROUP BY ALL),
+win AS (
+  SELECT date_trunc('day', booked) - to_days(CAST(back AS INTEGER)) AS window_start, date_trunc('day', booked) - to_days(CAST(back AS INTEGER)) + to_days(7) AS window_end,
+    least(payer, depot) AS src, greatest(payer, depot) AS dst, status AS true_label, amount
+  FROM counted, range(0, 7) r(back)),
+wedges AS MATERIALIZED (
+  SELECT window_start, window_end, src, dst, true_label, max(amount) AS weight, count(*) AS n_transfers, sum(amount) AS volume
+  FROM win WHERE window_end <= (SELECT max(closes) FROM marks) GROUP BY ALL)"""
+
+
+def _reclustered(ends: tuple[str, ...], lateness_days: int, steps: int, k: int) -> str:
+    """The newest closed window after each delivery: its embedding step by step and its best k clusters."""
+    chain = [
+        "chosen AS (SELECT max(window_end) AS g FROM wedges JOIN marks ON window_end <= closes GROUP BY delivery)",
+        "ce AS MATERIALIZED (SELECT DISTINCT window_end AS g, src, dst, true_label, weight, round(weight / max(weight) OVER (PARTITION BY window_end), 6) AS w "
+        "FROM wedges WHERE window_end IN (SELECT g FROM chosen))",
+        "nk AS (SELECT g, k, row_number() OVER (PARTITION BY g ORDER BY k) - 1 AS id FROM (SELECT g, src AS k FROM ce UNION SELECT g, dst FROM ce))",
+        "cb AS (SELECT g, src AS i, dst AS j, w FROM ce UNION ALL SELECT g, dst, src, w FROM ce)",
+        "ca AS MATERIALIZED (SELECT g, i, j, w / sum(w) OVER (PARTITION BY g, i) AS a FROM cb)",
+        "e0 AS (SELECT g, k, CAST((id % 104729) * 7919 % 104729 + 1 AS DOUBLE) / 104729 AS v FROM nk)",
+    ]
+    for t in range(1, steps + 1):
+        chain.append(f"e{t} AS MATERIALIZED (SELECT ca.g, ca.i AS k, sum(ca.a * e.v) AS v FROM ca JOIN e{t - 1} e ON e.g = ca.g AND e.k = ca.j GROUP BY 1, 2)")
+    chain.append(f"emb AS MATERIALIZED (SELECT g, k AS id, v / sum(abs(v)) OVER (PARTITION BY g) AS v FROM e{steps})")
+    return f"""WITH {_deliveries(ends, lateness_days)},
+{', '.join(chain)},
+{_best_runs('emb', k)}
+SELECT g AS window_end, id AS node_key, round(v, 9) AS v, CAST(cluster AS INTEGER) AS cluster FROM ({_runs_of(k)})"""
+
+
 def _etl_sources() -> str:
     return f"""etl_e AS (
   SELECT 'C' || CAST(o.o_custkey AS VARCHAR) AS src_id, 'S' || CAST(l.l_suppkey AS VARCHAR) AS dst_id
@@ -419,6 +548,16 @@ FROM cp_edges"""
     q["heat_history"] = f"WITH {heat}\n" + _heat_history(hcfg)
     q["heat_frames"] = f"WITH {heat}\n" + _heat_frames(hcfg)
     q["power_iteration3"] = f"WITH {CS_EDGES},\n" + _power_iteration(pi_steps)
+    from ringlens.operators.one_dim import K_CANDIDATES
+    from ringlens.sources.testgraphs import DELIVERY_ENDS
+
+    q["power_iteration_stop"] = f"WITH {CS_EDGES},\n" + _power_iteration_stop(15, 1e-5, False)
+    q["power_iteration_changes"] = f"WITH {CS_EDGES},\n" + _power_iteration_stop(15, 1e-5, True)
+    q["choose_k"] = f"WITH {CS_EDGES},\n" + _choose_k(pi_steps, K_CANDIDATES)
+    q["cluster_matching"] = _cluster_matching("1998-04-01 00:00:00", 0.1)
+    q["sliding_graph"] = f"""WITH {_deliveries(DELIVERY_ENDS, 5)}
+SELECT window_start, window_end, src, dst, true_label, round(weight, 6) AS weight, n_transfers, round(volume, 4) AS volume FROM wedges"""
+    q["reclustered_windows"] = _reclustered(DELIVERY_ENDS, 5, pi_steps, 3)
     etl = _etl_sources()
     q["etl_edges"] = f"WITH {etl}\nSELECT * FROM etl_out"
     q["edge_time_modes"] = f"""WITH {etl}

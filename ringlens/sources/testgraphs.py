@@ -112,3 +112,41 @@ def supplier_nation_assignments(spark: SparkSession, sf_dir: str, edges: DataFra
         .select(F.col("s_suppkey").alias("id"), F.col("s_nationkey").cast("int").alias("cluster"))
         .join(nodes, "id", "left_semi")
     )
+
+
+# Fixed values of the deliveries (our own choice, mirrored in the oracle SQL): a transfer arrives up to 10 days after it was booked, every 50th
+# 500 days after it; every 13th is delivered again two days later. A delivery holds what arrived before its date.
+DELIVERY_ENDS = ("1997-01-01 00:00:00", "1999-01-01 00:00:00", "2000-06-01 00:00:00")
+
+
+def delivered_transfers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Transfers from customers to depots, one per order, as a feed delivers them: ``payer, depot, amount, booked, status, delivery``."""
+    o = load_table(spark, sf_dir, "orders")
+    key = F.col("o_orderkey")
+    delay = F.pmod(key * F.lit(7), F.lit(11)) + F.when(F.pmod(key, F.lit(50)) == 3, 500).otherwise(0)
+    again = F.when(F.pmod(key, F.lit(13)) == 0, F.array(F.lit(0), F.lit(2))).otherwise(F.array(F.lit(0)))
+    sent = o.select("*", delay.alias("delay"), F.explode(again).alias("later"))
+    booked = F.col("o_orderdate").cast("timestamp_ntz")
+    arrived = F.date_add(booked.cast("date"), (F.col("delay") + F.col("later")).cast("int")).cast("timestamp_ntz")
+    delivery = sum((F.when(arrived >= F.lit(end).cast("timestamp_ntz"), 1).otherwise(0) for end in DELIVERY_ENDS), F.lit(0))
+    return sent.select(
+        F.concat(F.lit("C"), F.col("o_custkey").cast("string")).alias("payer"),
+        F.concat(F.lit("D"), F.pmod("o_orderkey", F.lit(97)).cast("string")).alias("depot"),
+        F.col("o_totalprice").alias("amount"), booked.alias("booked"), F.col("o_orderstatus").alias("status"), delivery.cast("int").alias("delivery"),
+    )
+
+
+def main_customer_nations(spark: SparkSession, sf_dir: str, date_min: str | None = None, date_max: str | None = None) -> DataFrame:
+    """A given clustering of suppliers (``id, cluster``): the nation of most of a supplier's customers by line items of orders from
+    ``date_min`` to before ``date_max``, the smaller key of equal ones."""
+    o = load_table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", F.col("o_orderdate").cast("timestamp_ntz").alias("day"))
+    if date_min is not None:
+        o = o.filter(F.col("day") >= F.lit(date_min).cast("timestamp_ntz"))
+    if date_max is not None:
+        o = o.filter(F.col("day") < F.lit(date_max).cast("timestamp_ntz"))
+    c = load_table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("o_custkey"), F.col("c_nationkey").alias("nation"))
+    li = load_table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("o_orderkey"), F.col("l_suppkey").alias("id"))
+    lines = li.join(o, "o_orderkey").join(c, "o_custkey").groupBy("id", "nation").agg(F.count(F.lit(1)).alias("n"))
+    return lines.groupBy("id").agg(F.min(F.struct(-F.col("n"), F.col("nation").alias("nation"))).alias("best")).select(
+        "id", F.col("best.nation").cast("int").alias("cluster")
+    )
