@@ -29,6 +29,13 @@ def small_batches(df: DataFrame) -> DataFrame:
     return df
 
 
+def free_shuffles(df: DataFrame) -> DataFrame:
+    """``df``; asks the driver's JVM to collect garbage. Spark deletes the files of a shuffle when nothing on the driver refers to it any more, which it
+    only learns from a collection; without one they stay on the executors' disks long after the table they served is written."""
+    df.sparkSession.sparkContext._jvm.System.gc()
+    return df
+
+
 def broadcast_checked(df: DataFrame, rows: int, max_rows: int = BROADCAST_ROWS) -> DataFrame:
     """``df`` marked for broadcast if its counted ``rows`` are within the bound, else left to a shuffled join."""
     return F.broadcast(df) if rows <= max_rows else df

@@ -12,7 +12,7 @@ Two sets of sizes a and b reach a Jaccard similarity of p percent only if they d
 * In a cell, each node is first compared with the smallest node and with the one before it (a star and a chain, two pairs
   per member). Cells whose members are then still in different components are searched with packed trees: boxes of points
   bound the overlap by coordinate minima, box against box, then point against point.
-* Every pair that passes the bound is verified on the whole token sets.
+* Every pair that passes the bound is verified on the whole token sets; only sets of such pairs are kept and shuffled.
 
 The result does not depend on the order of rows or on their partitioning.
 """
@@ -27,15 +27,16 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ringlens.llm.common import broadcast_checked, connected_components, only_columns, small_batches
+from ringlens.llm.common import broadcast_checked, connected_components, free_shuffles, only_columns, small_batches
 from ringlens.plans.runtime import materialize
 
-GROUPS = 256  # coordinates of a point
+GROUPS = 256  # coordinates of a point, at least
+FILL = 2  # tokens of a coordinate, about, where there are more than GROUPS * FILL tokens
 LEAF = 16  # points in a box
-KNOWN = 16  # smallest cells of a node that tell whether a pair has met in an earlier cell
+KNOWN = 8  # smallest cells of a node that tell whether a pair has met in an earlier cell
 BLOCK = 2048  # members of a cell that one task compares; larger cells are dealt out as pairs of blocks
 CLASS_RATIO = 1.5
-SPARE = 1.4  # blocks per token that may differ
+SPARE = 1.15  # blocks per token that may differ
 
 _MULTIPLIERS = np.array(
     [0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F], np.uint64
@@ -164,10 +165,17 @@ def cells(tok: np.ndarray, classes: SizeClasses) -> np.ndarray:
 
 
 def point(tok: np.ndarray) -> bytes:
-    """Counts of tokens per group, in the narrowest of three widths that holds them."""
-    count = np.bincount((tok & np.uint64(GROUPS - 1)).astype(np.int64), minlength=GROUPS)
+    """Counts of tokens per group, after a byte with their width: 0 for two counts under 16 in a byte, else the bytes of a count.
+
+    Groups are the low bits of a token: ``GROUPS`` of them, or the power of two above a ``FILL``-th of the tokens if that is more, so that
+    unrelated long sets do not look alike. Points of more groups are folded onto those of fewer by adding."""
+    groups = max(GROUPS, 1 << (max(len(tok) // FILL, 1) - 1).bit_length())
+    count = np.bincount((tok & np.uint64(groups - 1)).astype(np.int64), minlength=groups)
     most = count.max(initial=0)
-    return count.astype("<u1" if most < 1 << 8 else "<u2" if most < 1 << 16 else "<u4").tobytes()
+    if most < 16:
+        return b"\0" + (count[0::2] | count[1::2] << 4).astype(np.uint8).tobytes()
+    width = 1 if most < 1 << 8 else 2 if most < 1 << 16 else 4
+    return bytes([width]) + count.astype(f"<u{width}").tobytes()
 
 
 def _texts(column: pa.Array) -> list:
@@ -182,17 +190,16 @@ def _slices(batches: Iterator[pa.RecordBatch], rows: int = 512) -> Iterator[pa.R
 
 
 def shapes(docs: DataFrame, width: int) -> DataFrame:
-    """(doc_id, n, node) of every row of (doc_id, text): number of tokens and the name of the token set."""
+    """(doc_id, n, node, point) of every row of (doc_id, text): number of tokens, the name of the token set and its point."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in _slices(batches):
-            sets = list(token_batches(_texts(b.column(1)), width))
-            yield pa.record_batch(
-                [b.column(0), pa.array([len(s) for s in sets], pa.int64()), pa.array([node_of(s) for s in sets], pa.int64())],
-                ["doc_id", "n", "node"],
-            )
+            rows = [(len(s), node_of(s), point(s)) for s in token_batches(_texts(b.column(1)), width)]
+            n, node, pts = zip(*rows, strict=True) if rows else ([], [], [])
+            columns = [b.column(0), pa.array(n, pa.int64()), pa.array(node, pa.int64()), pa.array(pts, pa.binary())]
+            yield pa.record_batch(columns, ["doc_id", "n", "node", "point"])
 
-    return docs.mapInArrow(run, "doc_id long, n long, node long")
+    return docs.mapInArrow(run, "doc_id long, n long, node long, point binary")
 
 
 def members(docs: DataFrame, width: int, percent: int) -> DataFrame:
@@ -244,27 +251,47 @@ def shared_cells(member: DataFrame) -> DataFrame:
 
 
 def token_sets(docs: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
-    """(node, n, point, tokens) of the wanted (doc_id, node); docs are (doc_id, text)."""
+    """(node, tokens) of the wanted (doc_id, node); docs are (doc_id, text)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in _slices(batches):
-            rows = []
-            for s, node in zip(token_batches(_texts(b.column(0)), width), b.column(1).to_pylist(), strict=True):
-                if node_of(s) == node:
-                    rows.append((node, len(s), point(s), s.tobytes()))
-            columns = list(zip(*rows, strict=True)) or [[], [], [], []]
-            kinds = (pa.int64(), pa.int64(), pa.binary(), pa.binary())
-            yield pa.record_batch([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], ["node", "n", "point", "tokens"])
+            sets = zip(token_batches(_texts(b.column(0)), width), b.column(1).to_pylist(), strict=True)
+            rows = [(node, s.tobytes()) for s, node in sets if node_of(s) == node]
+            nodes, tokens = zip(*rows, strict=True) if rows else ([], [])
+            yield pa.record_batch([pa.array(nodes, pa.int64()), pa.array(tokens, pa.binary())], ["node", "tokens"])
 
     w = wanted.select(F.col("doc_id").alias("w_id"), "node")
     picked = docs.join(w, docs["doc_id"].eqNullSafe(w["w_id"])).select("text", "node")
-    return picked.mapInArrow(run, "node long, n long, point binary, tokens binary").dropDuplicates(["node"])
+    return picked.mapInArrow(run, "node long, tokens binary").dropDuplicates(["node"])
+
+
+def verified(docs: DataFrame, node: DataFrame, pairs: DataFrame, width: int, percent: int) -> DataFrame:
+    """The pairs (u, v) that link. Only the texts of nodes in a pair are read again; ``node`` has (node, doc_id)."""
+    asked = materialize(pairs.select(F.explode(F.array("u", "v")).alias("node")).distinct().join(node, "node"), "jaccard-asked")
+    sets = materialize(token_sets(docs, broadcast_checked(asked, asked.count()), width), "jaccard-sets")
+    return materialize(linked(pairs, sets, percent), "jaccard-links")
+
+
+def _groups(p: bytes) -> int:
+    return (len(p) - 1) // p[0] if p[0] else 2 * (len(p) - 1)
 
 
-def _points(column) -> np.ndarray:
-    width = max(map(len, column), default=GROUPS) // GROUPS
-    same = [p if len(p) == width * GROUPS else np.frombuffer(p, f"<u{len(p) // GROUPS}").astype(f"<u{width}").tobytes() for p in column]
-    return np.frombuffer(b"".join(same), f"<u{width}").reshape(-1, GROUPS)
+def _halves(packed: np.ndarray) -> np.ndarray:
+    """Two counts of each byte, along the last axis."""
+    return np.stack([packed & 15, packed >> 4], axis=-1).reshape(*packed.shape[:-1], -1)
+
+
+def _points(column: list[bytes], groups: int | None = None) -> np.ndarray:
+    """The points as rows, folded onto ``groups`` groups (as many as all of them have)."""
+    groups = groups or min(map(_groups, column), default=GROUPS)
+    if all(len(p) == groups // 2 + 1 and not p[0] for p in column):  # all packed in pairs
+        return _halves(np.frombuffer(b"".join(column), np.uint8).reshape(-1, groups // 2 + 1)[:, 1:])
+    out = np.empty((len(column), groups), np.uint32)
+    for i, p in enumerate(column):
+        count = np.frombuffer(p, f"<u{p[0]}", offset=1) if p[0] else _halves(np.frombuffer(p, np.uint8, offset=1))
+        out[i] = count.reshape(-1, groups).sum(axis=0, dtype=np.uint32)
+    most = out.max(initial=0)
+    return out.astype(np.uint8 if most < 1 << 8 else np.uint16 if most < 1 << 16 else np.uint32)
 
 
 def needed(a, b, percent: int):
@@ -276,12 +303,16 @@ def within_bound(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs (u, v) whose summed coordinate minima reach the overlap that a link needs."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            if b.num_rows:
-                x, y = _points(b.column(2).to_pylist()), _points(b.column(3).to_pylist())
-                a, c = x.sum(1, dtype=np.int64), y.sum(1, dtype=np.int64)
-                keep = np.minimum(x, y).sum(1, dtype=np.int64) >= needed(a, c, percent)
-                yield pa.RecordBatch.from_arrays([b.column(0), b.column(1)], ["u", "v"]).filter(pa.array(keep))
+        for b in _slices(batches, 4096):
+            x, y = b.column(2).to_pylist(), b.column(3).to_pylist()
+            groups = np.array([min(_groups(p), _groups(q)) for p, q in zip(x, y, strict=True)], np.int64)
+            keep = np.zeros(b.num_rows, bool)
+            for g in np.unique(groups):
+                at = np.flatnonzero(groups == g)
+                u, v = _points([x[i] for i in at], int(g)), _points([y[i] for i in at], int(g))
+                need = needed(u.sum(1, dtype=np.int64), v.sum(1, dtype=np.int64), percent)
+                keep[at] = np.minimum(u, v).sum(1, dtype=np.int64) >= need
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1)], ["u", "v"]).filter(pa.array(keep))
 
     s = sets.select("node", "n", "point")
     u, v = (s.select(F.col("node").alias(k), F.col("n").alias(f"n_{k}"), F.col("point").alias(f"p_{k}")) for k in "uv")
@@ -313,6 +344,14 @@ def tree_pairs(pts: np.ndarray, component: np.ndarray, side: np.ndarray, percent
     searched if the minima of the boxes' upper corners sum to the overlap that their smallest sizes need.
     """
     size = pts.sum(1, dtype=np.int64)
+    if len(pts) <= LEAF:  # one box
+        i, j = np.triu_indices(len(pts), 1)
+        apart = (component[i] != component[j]) & (~side.any() | (side[i] != side[j]))
+        i, j = i[apart], j[apart]
+        near = np.minimum(size[i], size[j]) * 100 >= np.maximum(size[i], size[j]) * percent
+        i, j = i[near], j[near]
+        good = np.minimum(pts[i], pts[j]).sum(1, dtype=np.int64) >= needed(size[i], size[j], percent)
+        return i[good], j[good]
     wide = np.argsort(-np.var(pts, axis=0, dtype=np.float32), kind="stable")[:2]
     order = np.lexsort((pts[:, wide[1]], pts[:, wide[0]], size))
     pts, size, component, side = pts[order], size[order], component[order], side[order]
@@ -361,12 +400,12 @@ def open_pairs(placed: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def search(rows: pa.Table) -> Iterator[pa.RecordBatch]:
             col = {k: rows.column(k).to_numpy() for k in ("cell", "low", "high", "block", "node", "component")}
-            pts = _points(rows.column("point").to_pylist())
+            packed = rows.column("point").to_pylist()
             known = np.frombuffer(b"".join(rows.column("known").to_pylist()), ">i8").astype(np.int64).reshape(-1, KNOWN)
             cuts = np.flatnonzero(np.concatenate([[True], np.any([col[k][1:] != col[k][:-1] for k in ("cell", "low", "high")], axis=0)]))
             for a, b in zip(cuts, np.append(cuts[1:], rows.num_rows), strict=True):
                 side = (col["block"][a:b] == col["high"][a]) & (col["low"][a] != col["high"][a])
-                x, y = tree_pairs(pts[a:b], col["component"][a:b], side, percent)
+                x, y = tree_pairs(_points(packed[a:b]), col["component"][a:b], side, percent)
                 met = np.zeros(len(x), bool)
                 for k in range(0, len(x), 8192):
                     s, t = known[a + x[k : k + 8192], :, None], known[a + y[k : k + 8192], None, :]
@@ -415,27 +454,16 @@ def jaccard_components(documents: DataFrame, id_col: str = "doc_id", text_col: s
     docs = only_columns(small_batches(documents), doc_id=id_col, text=text_col).withColumn("doc_id", F.col("doc_id").cast("long"))
     shape = materialize(shapes(docs, width), "jaccard-shapes")
     node = shape.filter("n > 0").groupBy("node").agg(F.min("doc_id").alias("doc_id"))
-    cell = materialize(shared_cells(members(docs, width, percent)), "jaccard-cells")
-    stars = materialize(cell.select(F.col("first").alias("u"), F.col("node").alias("v")).distinct(), "jaccard-stars")
-    involved = materialize(
-        cell.select("node").union(cell.select("first")).distinct().join(node, "node"), "jaccard-involved"
-    )
-    wanted = broadcast_checked(involved, involved.count())
-    sets = materialize(token_sets(docs, wanted, width), "jaccard-sets")
-    near = materialize(within_bound(stars, sets, percent), "jaccard-near")
-    links = materialize(linked(near, sets, percent), "jaccard-links")
-    # of the chains only pairs that the stars have not put into one component are verified
-    found = connected_components(links)
-    at = [found.select(F.col("node").alias(k), F.col("component").alias(f"c_{k}")) for k in "uv"]
-    chain = cell.select(F.col("before").alias("u"), F.col("node").alias("v")).distinct().join(stars, ["u", "v"], "left_anti")
-    apart = F.coalesce("c_u", "u") != F.coalesce("c_v", "v")
-    chain = materialize(chain.join(at[0], "u", "left").join(at[1], "v", "left").filter(apart).select("u", "v"), "jaccard-chains")
-    near = materialize(within_bound(chain, sets, percent), "jaccard-near")
-    links = links.union(materialize(linked(near, sets, percent), "jaccard-links"))
-    stars = stars.union(chain)
-    placed = materialize(open_cells(cell, connected_components(links)), "jaccard-open")
-    rest = materialize(open_pairs(placed, sets, percent).join(stars, ["u", "v"], "left_anti"), "jaccard-rest")
-    joined = connected_components(links.union(materialize(linked(rest, sets, percent), "jaccard-links")))
+    cell = free_shuffles(materialize(shared_cells(members(docs, width, percent)), "jaccard-cells"))
+    stars = cell.select(F.col("first").alias("u"), F.col("node").alias("v"))
+    tried = materialize(stars.union(cell.select(F.col("before").alias("u"), F.col("node").alias("v"))).distinct(), "jaccard-tried")
+    involved = cell.select("node").union(cell.select("first")).distinct()
+    sets = materialize(shape.select("node", "n", "point").join(involved, "node", "left_semi").dropDuplicates(["node"]), "jaccard-points")
+    near = free_shuffles(materialize(within_bound(tried, sets, percent), "jaccard-near"))
+    links = verified(docs, node, near, width, percent)
+    placed = free_shuffles(materialize(open_cells(cell, connected_components(links)), "jaccard-open"))
+    rest = free_shuffles(materialize(open_pairs(placed, sets, percent).join(tried, ["u", "v"], "left_anti"), "jaccard-rest"))
+    joined = connected_components(links.union(verified(docs, node, rest, width, percent)))
     group = node.join(joined, "node", "left").withColumn("component", F.coalesce("component", "node"))
     smallest = group.groupBy("component").agg(F.min("doc_id").alias("component_id"))
     named = group.join(smallest, "component").select("node", "component_id")

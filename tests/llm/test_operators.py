@@ -99,7 +99,9 @@ def test_cells_are_shared_by_every_linked_pair():
 def test_tree_finds_what_the_bound_allows():
     rnd = np.random.default_rng(1)
     pts = rnd.integers(0, 5, (150, jaccard_join.GROUPS)).astype(np.int32)
-    pts[75:] = pts[:75] + rnd.integers(0, 2, (75, jaccard_join.GROUPS))
+    pts[75:] = pts[:75]
+    for i in range(75, 150):  # points of some 500 tokens that differ in 20 of them
+        pts[i, rnd.choice(jaccard_join.GROUPS, 20, replace=False)] += 1
     comp, side = np.arange(150), np.zeros(150, bool)
     x, y = jaccard_join.tree_pairs(pts, comp, side, 85)
     size = pts.sum(1)
