@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ringlens.llm.common import small_batches
-from ringlens.llm.unigram import load_pieces, segmenter
+from ringlens.llm.unigram import Segmenter, load_pieces, segmenter
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 
@@ -33,10 +33,21 @@ def _lists(rows: list[bytes | None]) -> pa.Array:
     )
 
 
+def _texts(seg: Segmenter, spelling: pa.Array, ids: pa.ListArray) -> Iterator[str | None]:
+    """The text of each list of ids. The spellings of a batch are taken at once and lie joined in one buffer."""
+    rows = np.asarray(ids.offsets)
+    taken = spelling.take(ids.values.slice(rows[0], rows[-1] - rows[0]).fill_null(seg.table.unknown_id))
+    _, offsets, joined = taken.buffers()
+    ends = np.frombuffer(offsets, np.int64)[taken.offset :][rows - rows[0]] if len(taken) else rows * 0
+    joined = memoryview(joined or b"")
+    for null, start, end in zip(ids.is_null().to_pylist(), ends[:-1].tolist(), ends[1:].tolist()):
+        yield None if null else seg.decode_bytes(bytes(joined[start:end]))
+
+
 def encode(df: DataFrame, text_col: str = "text", ids_col: str = "token_ids", model: str = MODEL) -> DataFrame:
     """``df`` with ``ids_col``: array<int> of the text's piece ids. Null gives null, the empty text no ids.
 
-    A column of that name is replaced; all others stay."""
+    A column of that name is replaced; all others stay. Equal rows give equal ids, each in its own row."""
     table = load_pieces(model)
 
     def run(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
@@ -54,8 +65,9 @@ def decode(df: DataFrame, ids_col: str = "token_ids", text_col: str = "decoded",
 
     def run(column: Iterator[pa.Array]) -> Iterator[pa.Array]:
         seg = segmenter(table)
+        spelling = pa.array([s or b"" for s in table.spelling], pa.large_binary())
         for ids in column:
-            yield pa.array([None if r is None else seg.decode(r) for r in ids.to_pylist()], pa.string())
+            yield pa.array(_texts(seg, spelling, ids), pa.string())
 
     text = F.arrow_udf(run, "string")
     return small_batches(df).withColumn(text_col, text(F.col(f"`{ids_col}`")))

@@ -10,6 +10,9 @@ from __future__ import annotations
 import re
 from array import array
 from dataclasses import dataclass
+from heapq import merge
+from math import inf
+from operator import itemgetter
 
 SPACE = "▁"
 UNKNOWN_PENALTY = 10.0  # fixed value of the public tokenizer
@@ -97,6 +100,7 @@ class Segmenter:
         if table.pieces:
             self.trie.make_automaton()
         self.unknown = min((s for _, _, s in table.pieces), default=0.0) - UNKNOWN_PENALTY
+        self.ones = {p for p, _, _ in table.pieces if len(p) == 1}
         joined = {c for p, _, _ in table.pieces if len(p) > 1 for c in p} - {SPACE}
         if any(re.search(f"[^{SPACE}]{SPACE}", p) for p, _, _ in table.pieces):
             self.chunk = re.compile("(?s).+")
@@ -116,44 +120,37 @@ class Segmenter:
     def _matches(self, chunk: str):
         return self.trie.iter(chunk) if self.table.pieces else ()
 
+    def _edges(self, chunk: str):
+        """(end, (size, score, id)) of all pieces that match and, after the matches of the same end, of the unknown piece (id -1)."""
+        if self.ones.issuperset(chunk):
+            return self._matches(chunk)
+        lone = ((at, (1, self.unknown, -1)) for at, c in enumerate(chunk) if c not in self.ones)
+        return merge(self._matches(chunk), lone, key=itemgetter(0))
+
     def _ids(self, chunk: str) -> bytes:
         """The ids of a chunk as 32-bit integers, which take a fraction of the memory of a tuple."""
-        n, unknown = len(chunk), self.unknown
-        best: list[float | None] = [0.0] + [None] * n
-        last = [(0, 0)] * (n + 1)  # start of the last piece on the best path and its id; -1 is unknown
-        done = 0
-
-        def close(upto: int) -> None:
-            # positions that no match reaches through a one-character piece: the unknown piece
-            nonlocal done
-            while done < upto:
-                done += 1
-                if not single[done]:
-                    score = best[done - 1] + unknown
-                    if best[done] is None or score > best[done]:
-                        best[done], last[done] = score, (done - 1, -1)
-
-        single = [False] * (n + 1)
-        for end, (size, score, i) in self._matches(chunk):
-            end += 1
-            close(end - 1)
-            # at one end the automaton follows its output links from the longest match to the shortest
-            single[end] |= size == 1
+        # by the place of a piece's last character; the place before the first character is -1, the last one here
+        best = [-inf] * len(chunk) + [0.0]
+        last = [None] * len(chunk)
+        # at one end the automaton follows its output links from the longest match to the shortest
+        for end, piece in self._edges(chunk):
+            size, score, _ = piece
             total = best[end - size] + score
-            if best[end] is None or total > best[end]:
-                best[end], last[end] = total, (end - size, i)
-        close(n)
+            if total > best[end]:
+                best[end], last[end] = total, piece
         out: list[int] = []
-        while n:
-            start, i = last[n]
+        end = len(chunk) - 1
+        while end >= 0:
+            size, _, i = last[end]
             if i >= 0:
                 out.append(i)
             elif self.table.byte_ids:
-                out.extend(self.table.byte_ids[b] for b in reversed(chunk[start:n].encode()))
+                out.extend([self.table.byte_ids[b] for b in reversed(chunk[end].encode())])
             elif not out or out[-1] != self.table.unknown_id:  # a run of unknown characters is one piece
                 out.append(self.table.unknown_id)
-            n = start
-        return array("i", reversed(out)).tobytes()
+            end -= size
+        out.reverse()
+        return array("i", out).tobytes()
 
     def _count(self, chunk: str) -> int:
         """Number of pieces on the best path: the same search, which carries the count instead of back links."""
@@ -205,11 +202,15 @@ class Segmenter:
             return len(self.encode(text))
         return sum(map(self.counts.__getitem__, self.chunks(text)))
 
-    def decode(self, ids) -> str:
-        """The text that the ids spell; bytes that are no UTF-8 become U+FFFD, control ids nothing."""
-        text = b"".join(self.table.spelling[i] or b"" for i in ids).decode("utf-8", "replace")
+    def decode_bytes(self, text: bytes) -> str:
+        """The text of joined spellings; bytes that are no UTF-8 become U+FFFD."""
+        text = text.decode("utf-8", "replace")
         return text[1:] if self.table.dummy_prefix and text.startswith(" ") else text
 
+    def decode(self, ids) -> str:
+        """The text that the ids spell; control ids spell nothing."""
+        return self.decode_bytes(b"".join(self.table.spelling[i] or b"" for i in ids))
+
 
 _SEGMENTERS: dict[str, Segmenter] = {}
 
