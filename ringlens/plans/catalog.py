@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from ringlens.config import ClusterConfig, GeneratorConfig, HeatConfig
 from ringlens.functions.columns import repaired_weight, round_doubles
+from ringlens.operators import alerts as A
 from ringlens.operators import clusters as C
 from ringlens.operators import edges as E
 from ringlens.operators import etl as X
@@ -24,6 +25,7 @@ from ringlens.operators import one_dim as O
 from ringlens.operators import pic as P
 from ringlens.operators import rings as R
 from ringlens.operators import summary as S
+from ringlens.operators import velocity as W
 from ringlens.operators.ranking import global_positions
 from ringlens.plans.runtime import materialize, scratch_path
 from ringlens.sources import testgraphs as G
@@ -426,6 +428,47 @@ def q_planted_graph(spark, sf_dir):
     return edges.select("src", "dst", "true_label").unionByName(rings.select("src", "dst", "true_label"))
 
 
+# ---- composite weights, alerts, drift -----------------------------------------------------------------------
+
+COMPOSITE = W.CompositeWeight(window_seconds=30 * 86400, fast_count=8, fast_amount=400_000.0)
+ALERT_DAYS = ("1996-02-01", "1998-07-01", "2001-08-01")  # each stands for the month before it; the second day is run twice
+ALERT_DENSITY = 0.15
+
+
+def q_composite_weights(spark, sf_dir):
+    t = G.customer_transfers(spark, sf_dir)
+    closeness = F.when(F.col("payer_nation") == F.col("payee_nation"), 1.0).when(F.col("payer_region") == F.col("payee_region"), 0.5).otherwise(0.0)
+    out = W.composite_weights(t, "payer", "booked", "amount", closeness, COMPOSITE)
+    return _rd(out.select("transfer", "line", "payer", "n_recent", "amount_recent", "amount_norm", "time_proximity", "place_closeness", "velocity_flag", "weight"),
+               amount_recent=4)
+
+
+def q_recent_activity(spark, sf_dir):
+    out = W.recent_activity(load_table(spark, sf_dir, "orders"), "o_custkey", "o_orderdate", "o_totalprice", 90 * 86400)
+    return _rd(out.withColumn("amount_recent", F.col("amount_recent").cast("double")), amount_recent=4)
+
+
+def _monthly_density(spark, sf_dir):
+    edges = G.monthly_co_supply(spark, sf_dir)
+    return A.sliced_density(edges, G.supplier_nation_assignments(spark, sf_dir, edges))
+
+
+def q_density_drift(spark, sf_dir):
+    """Density of every nation's suppliers month by month, and where it left what the first year showed."""
+    return _rd(A.drift(_monthly_density(spark, sf_dir), "internal_density", baseline=12, slack=0.02, limit=0.5))
+
+
+def q_alert_table(spark, sf_dir):
+    """Nations whose suppliers were dense in the month before each day, published day by day, one day twice."""
+    density = materialize(_monthly_density(spark, sf_dir), "monthly-density")
+    path = scratch_path(spark, "alert-table")
+    for day in (ALERT_DAYS[0], ALERT_DAYS[1], ALERT_DAYS[1], ALERT_DAYS[2]):
+        month = F.add_months(F.lit(day).cast("date"), -1)
+        dense = density.filter((F.col("slice") == month) & (F.col("internal_density") >= ALERT_DENSITY))
+        A.publish_alerts(dense.select("cluster", "n_nodes", "internal_density"), "cluster", day, path)
+    return _rd(A.read_alerts(spark, "cluster", path))
+
+
 # ---- ETL ----------------------------------------------------------------------------------------------------
 
 def raw_transactions(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
@@ -533,6 +576,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "pic_dataframe": q_pic_dataframe,
     "pic_scores": q_pic_scores,
     "planted_graph": q_planted_graph,
+    "recent_activity": q_recent_activity,
+    "composite_weights": q_composite_weights,
+    "density_drift": q_density_drift,
+    "alert_table": q_alert_table,
     "etl_edges": q_etl_edges,
     "edge_time_modes": q_edge_time_modes,
     "edge_label_rule": q_edge_label_rule,

@@ -322,6 +322,72 @@ def _main_nations(name: str, where: str) -> str:
   WHERE n = top GROUP BY 1)"""
 
 
+MONTHLY_DENSITY = """ms AS (
+  SELECT DISTINCT CAST(date_trunc('month', o_orderdate) AS DATE) AS slice, anchor AS src, l_suppkey AS dst
+  FROM lineitem JOIN (SELECT l_orderkey AS k, min(l_suppkey) AS anchor FROM lineitem GROUP BY 1) ON k = l_orderkey JOIN orders ON o_orderkey = l_orderkey
+  WHERE anchor <> l_suppkey),
+md AS (
+  SELECT slice, cluster, count(DISTINCT id) AS n_nodes, any_value(n) AS n_edges,
+    CASE WHEN count(DISTINCT id) > 1 THEN any_value(n) / (count(DISTINCT id) * (count(DISTINCT id) - 1) / 2.0) ELSE 0.0 END AS internal_density
+  FROM (
+    SELECT slice, id, CAST(s_nationkey AS INTEGER) AS cluster, (
+      SELECT count(*) FROM ms i JOIN supplier a ON a.s_suppkey = i.src JOIN supplier b ON b.s_suppkey = i.dst
+      WHERE i.slice = e.slice AND a.s_nationkey = b.s_nationkey AND a.s_nationkey = s.s_nationkey) AS n
+    FROM (SELECT slice, src AS id FROM ms UNION SELECT slice, dst FROM ms) e JOIN supplier s ON s_suppkey = id)
+  GROUP BY 1, 2)"""
+
+RECENT_ACTIVITY = """SELECT payer, "at", n_now, n_recent, round(CAST(amount_recent AS DOUBLE), 4) AS amount_recent,
+  CASE WHEN n_now > 1 THEN 0 WHEN "at" - prev <= 90 * 86400 THEN "at" - prev END AS gap
+FROM (
+  SELECT payer, "at", n_now, lag("at") OVER (PARTITION BY payer ORDER BY "at") AS prev,
+    sum(n_now) OVER w AS n_recent, sum(a) OVER w AS amount_recent
+  FROM (SELECT o_custkey AS payer, CAST(epoch(o_orderdate) AS BIGINT) AS "at", count(*) AS n_now, sum(CAST(o_totalprice AS DECIMAL(28, 4))) AS a FROM orders GROUP BY 1, 2)
+  WINDOW w AS (PARTITION BY payer ORDER BY "at" RANGE BETWEEN 7776000 PRECEDING AND CURRENT ROW))"""
+
+COMPOSITE_WEIGHTS = """WITH t AS (
+  SELECT l_orderkey AS transfer, l_linenumber AS line, o_custkey AS payer, l_extendedprice AS amount, o_orderdate AS booked,
+    CASE WHEN cn.n_nationkey = sn.n_nationkey THEN 1.0 WHEN cn.n_regionkey = sn.n_regionkey THEN 0.5 ELSE 0.0 END AS place_closeness
+  FROM lineitem JOIN orders ON o_orderkey = l_orderkey JOIN customer ON c_custkey = o_custkey JOIN supplier ON s_suppkey = l_suppkey
+  JOIN nation cn ON cn.n_nationkey = c_nationkey JOIN nation sn ON sn.n_nationkey = s_nationkey),
+w AS (
+  SELECT *, count(*) OVER r AS n_recent, CAST(sum(CAST(amount AS DECIMAL(28, 4))) OVER r AS DOUBLE) AS amount_recent,
+    count(*) OVER (PARTITION BY payer, booked) AS n_now,
+    max(booked) OVER (PARTITION BY payer ORDER BY booked RANGE BETWEEN INTERVAL 30 DAY PRECEDING AND INTERVAL 1 SECOND PRECEDING) AS prev
+  FROM t WINDOW r AS (PARTITION BY payer ORDER BY booked RANGE BETWEEN INTERVAL 30 DAY PRECEDING AND CURRENT ROW)),
+f AS (
+  SELECT *, amount / (SELECT max(amount) FROM t) AS amount_norm,
+    CASE WHEN n_now > 1 THEN 1.0 WHEN prev IS NULL THEN 0.0 ELSE 1.0 - epoch(booked - prev) / 2592000.0 END AS time_proximity,
+    CASE WHEN n_recent >= 8 OR amount_recent >= 400000.0 THEN 1.0 ELSE 0.0 END AS velocity_flag
+  FROM w)
+SELECT transfer, line, payer, n_recent, round(amount_recent, 4) AS amount_recent, round(amount_norm, 6) AS amount_norm, round(CAST(time_proximity AS DOUBLE), 6) AS time_proximity,
+  CAST(place_closeness AS DOUBLE) AS place_closeness, CAST(velocity_flag AS DOUBLE) AS velocity_flag,
+  round(CAST(0.4 AS DOUBLE) * amount_norm + CAST(0.2 AS DOUBLE) * time_proximity + CAST(0.2 AS DOUBLE) * place_closeness + CAST(0.2 AS DOUBLE) * velocity_flag, 6) AS weight
+FROM f"""
+
+# the cumulative sums one slice after the other, as they are defined
+DENSITY_DRIFT = f"""WITH RECURSIVE {MONTHLY_DENSITY},
+d AS MATERIALIZED (
+  SELECT *, row_number() OVER (PARTITION BY cluster ORDER BY slice) AS nth, internal_density - lag(internal_density) OVER (PARTITION BY cluster ORDER BY slice) AS change FROM md),
+x AS (SELECT cluster, avg(internal_density) AS expected FROM d WHERE nth <= 12 GROUP BY 1),
+c AS (
+  SELECT d.cluster, nth, expected, greatest(0.0, expected - internal_density - 0.02) AS down, greatest(0.0, internal_density - expected - 0.02) AS up FROM d JOIN x USING (cluster) WHERE nth = 1
+  UNION ALL
+  SELECT c.cluster, d.nth, expected, greatest(0.0, down + expected - internal_density - 0.02), greatest(0.0, up + internal_density - expected - 0.02)
+  FROM c JOIN d ON d.cluster = c.cluster AND d.nth = c.nth + 1)
+SELECT slice, d.cluster, n_nodes, n_edges, round(internal_density, 6) AS internal_density, round(change, 6) AS change, round(expected, 6) AS expected,
+  round(down, 6) AS cusum_down, round(up, 6) AS cusum_up, round(down, 9) > 0.5 OR round(up, 9) > 0.5 AS alarm
+FROM d JOIN c ON c.cluster = d.cluster AND c.nth = d.nth"""
+
+
+def _alert_table(days: tuple[str, ...], density: float) -> str:
+    values = ", ".join(f"(DATE '{day}')" for day in days)
+    return f"""WITH {MONTHLY_DENSITY},
+seen AS (SELECT day, cluster, n_nodes, internal_density FROM md JOIN (VALUES {values}) v(day) ON slice = day - INTERVAL 1 MONTH WHERE internal_density >= {density!r})
+SELECT cluster, min(day) AS first_seen, max(day) AS last_seen, count(*) AS n_days, max(day) = (SELECT max(day) FROM (VALUES {values}) v(day)) AS open,
+  arg_max(n_nodes, day) AS n_nodes, round(arg_max(internal_density, day), 6) AS internal_density
+FROM seen GROUP BY 1"""
+
+
 def _cluster_matching(split: str, min_jaccard: float) -> str:
     return f"""WITH {_main_nations('old', f"o_orderdate < TIMESTAMP '{split}'")},
 {_main_nations('new', f"o_orderdate >= TIMESTAMP '{split}'")},
@@ -549,6 +615,7 @@ FROM cp_edges"""
     q["heat_frames"] = f"WITH {heat}\n" + _heat_frames(hcfg)
     q["power_iteration3"] = f"WITH {CS_EDGES},\n" + _power_iteration(pi_steps)
     from ringlens.operators.one_dim import K_CANDIDATES
+    from ringlens.plans.catalog import ALERT_DAYS, ALERT_DENSITY
     from ringlens.sources.testgraphs import DELIVERY_ENDS
 
     q["power_iteration_stop"] = f"WITH {CS_EDGES},\n" + _power_iteration_stop(15, 1e-5, False)
@@ -558,6 +625,10 @@ FROM cp_edges"""
     q["sliding_graph"] = f"""WITH {_deliveries(DELIVERY_ENDS, 5)}
 SELECT window_start, window_end, src, dst, true_label, round(weight, 6) AS weight, n_transfers, round(volume, 4) AS volume FROM wedges"""
     q["reclustered_windows"] = _reclustered(DELIVERY_ENDS, 5, pi_steps, 3)
+    q["recent_activity"] = RECENT_ACTIVITY
+    q["composite_weights"] = COMPOSITE_WEIGHTS
+    q["density_drift"] = DENSITY_DRIFT
+    q["alert_table"] = _alert_table(ALERT_DAYS, ALERT_DENSITY)
     etl = _etl_sources()
     q["etl_edges"] = f"WITH {etl}\nSELECT * FROM etl_out"
     q["edge_time_modes"] = f"""WITH {etl}

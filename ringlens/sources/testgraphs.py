@@ -150,3 +150,26 @@ def main_customer_nations(spark: SparkSession, sf_dir: str, date_min: str | None
     return lines.groupBy("id").agg(F.min(F.struct(-F.col("n"), F.col("nation").alias("nation"))).alias("best")).select(
         "id", F.col("best.nation").cast("int").alias("cluster")
     )
+
+
+def customer_transfers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Line items as transfers with the places of both ends: ``transfer, line, payer, amount, booked, payer_nation, payee_nation, payer_region, payee_region``."""
+    place = load_table(spark, sf_dir, "nation").select("n_nationkey", "n_regionkey")
+    c = load_table(spark, sf_dir, "customer").join(place, F.col("c_nationkey") == F.col("n_nationkey")).select(
+        F.col("c_custkey").alias("o_custkey"), F.col("n_nationkey").alias("payer_nation"), F.col("n_regionkey").alias("payer_region"))
+    s = load_table(spark, sf_dir, "supplier").join(place, F.col("s_nationkey") == F.col("n_nationkey")).select(
+        F.col("s_suppkey").alias("l_suppkey"), F.col("n_nationkey").alias("payee_nation"), F.col("n_regionkey").alias("payee_region"))
+    o = load_table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("l_orderkey"), "o_custkey", "o_orderdate")
+    li = load_table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_suppkey", "l_extendedprice")
+    return li.join(o, "l_orderkey").join(c, "o_custkey").join(s, "l_suppkey").select(
+        F.col("l_orderkey").alias("transfer"), F.col("l_linenumber").alias("line"), F.col("o_custkey").alias("payer"),
+        F.col("l_extendedprice").alias("amount"), F.col("o_orderdate").alias("booked"), "payer_nation", "payee_nation", "payer_region", "payee_region",
+    )
+
+
+def monthly_co_supply(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw supplier edges by month of the order: ``slice date, src, dst``."""
+    month = load_table(spark, sf_dir, "orders").select(
+        F.col("o_orderkey").alias("l_orderkey"), F.trunc(F.col("o_orderdate").cast("date"), "month").alias("slice"))
+    return _order_star(spark, sf_dir, "l_suppkey").join(month, "l_orderkey").select(
+        "slice", F.col("anchor").alias("src"), F.col("l_suppkey").alias("dst"))
