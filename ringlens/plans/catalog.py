@@ -24,6 +24,7 @@ from ringlens.operators import matching as M
 from ringlens.operators import one_dim as O
 from ringlens.operators import pic as P
 from ringlens.operators import rings as R
+from ringlens.operators import sketches as K
 from ringlens.operators import summary as S
 from ringlens.operators import velocity as W
 from ringlens.operators.ranking import global_positions
@@ -469,6 +470,38 @@ def q_alert_table(spark, sf_dir):
     return _rd(A.read_alerts(spark, "cluster", path))
 
 
+def q_step_sketches(spark, sf_dir):
+    """Sketches per month, written, merged for years and for all time, and whether they keep their promised errors against exact counts and ranks.
+
+    Distinct counts are held to four standard errors, ranks to twice the 99 % error.
+    """
+    edges = G.customer_transfers(spark, sf_dir).select(
+        F.trunc(F.col("booked").cast("date"), "month").alias("month"), "payer", "payee_nation", "amount")
+    path = scratch_path(spark, "step-sketches")
+    K.step_sketches(edges, "month", "payer", "payee_nation", "amount").write.parquet(path)
+    stored = spark.read.parquet(path)
+    labels = {"month": F.date_format("step", "yyyy-MM"), "year": F.date_format("step", "yyyy"), "all": F.lit("all")}
+    ranges = [K.merge_steps(stored.withColumn("label", c), "label") for c in labels.values()]
+    found = K.estimates(ranges[0].union(ranges[1]).union(ranges[2]))
+    rows = edges.withColumnRenamed("month", "step").select(F.explode(F.array(*labels.values())).alias("label"), "payer", "payee_nation", "amount")
+    exact = rows.groupBy("label").agg(F.count_distinct("payer").alias("payers"), F.count_distinct("payee_nation").alias("nations"))
+    value = F.col("weight_quantiles")
+    ranks = rows.join(found.select("label", "weight_quantiles"), "label").groupBy("label").agg(*[
+        agg for i in range(len(K.QUANTILES)) for agg in (
+            F.avg((F.col("amount") < value[i]).cast("double")).alias(f"below{i}"), F.avg((F.col("amount") <= value[i]).cast("double")).alias(f"upto{i}"))
+    ])
+    slack = 2 * K.rank_error()
+    ranks_kept = [(F.col(f"below{i}") <= q + slack) & (F.col(f"upto{i}") >= q - slack) for i, q in enumerate(K.QUANTILES)]
+
+    def near(estimate, true):
+        return F.abs(F.col(estimate) - F.col(true)) <= 4 * K.distinct_error() * F.col(true)
+
+    return found.join(exact, "label").join(ranks, "label").select(
+        "label", "n_edges", "n_weights", "payers", "nations", near("src_nodes", "payers").alias("payers_kept"),
+        near("dst_nodes", "nations").alias("nations_kept"), *[kept.alias(f"quantile{i}_kept") for i, kept in enumerate(ranks_kept)],
+    )
+
+
 # ---- ETL ----------------------------------------------------------------------------------------------------
 
 def raw_transactions(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
@@ -580,6 +613,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "composite_weights": q_composite_weights,
     "density_drift": q_density_drift,
     "alert_table": q_alert_table,
+    "step_sketches": q_step_sketches,
     "etl_edges": q_etl_edges,
     "edge_time_modes": q_edge_time_modes,
     "edge_label_rule": q_edge_label_rule,

@@ -364,6 +364,14 @@ SELECT transfer, line, payer, n_recent, round(amount_recent, 4) AS amount_recent
   round(CAST(0.4 AS DOUBLE) * amount_norm + CAST(0.2 AS DOUBLE) * time_proximity + CAST(0.2 AS DOUBLE) * place_closeness + CAST(0.2 AS DOUBLE) * velocity_flag, 6) AS weight
 FROM f"""
 
+# exact counts; that the sketches keep their errors is computed on the Spark side against exact counts and ranks
+STEP_SKETCHES = """SELECT label, count(*) AS n_edges, count(l_extendedprice) AS n_weights, count(DISTINCT o_custkey) AS payers, count(DISTINCT s_nationkey) AS nations,
+  true AS payers_kept, true AS nations_kept, true AS quantile0_kept, true AS quantile1_kept, true AS quantile2_kept
+FROM (
+  SELECT *, unnest([strftime(o_orderdate, '%Y-%m'), strftime(o_orderdate, '%Y'), 'all']) AS label
+  FROM lineitem JOIN orders ON o_orderkey = l_orderkey JOIN customer ON c_custkey = o_custkey JOIN supplier ON s_suppkey = l_suppkey)
+GROUP BY 1"""
+
 # the cumulative sums one slice after the other, as they are defined
 DENSITY_DRIFT = f"""WITH RECURSIVE {MONTHLY_DENSITY},
 d AS MATERIALIZED (
@@ -627,6 +635,7 @@ SELECT window_start, window_end, src, dst, true_label, round(weight, 6) AS weigh
     q["reclustered_windows"] = _reclustered(DELIVERY_ENDS, 5, pi_steps, 3)
     q["recent_activity"] = RECENT_ACTIVITY
     q["composite_weights"] = COMPOSITE_WEIGHTS
+    q["step_sketches"] = STEP_SKETCHES
     q["density_drift"] = DENSITY_DRIFT
     q["alert_table"] = _alert_table(ALERT_DAYS, ALERT_DENSITY)
     etl = _etl_sources()
