@@ -9,7 +9,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from functools import cached_property
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ringlens.config import ClusterConfig, GeneratorConfig, HeatConfig
@@ -377,46 +377,67 @@ def q_reclustered_windows(spark, sf_dir):
     return _rd(recluster.read_published(spark, out, "nodes").select("window_end", "node_key", "v", "cluster"), v=9)
 
 
-PIC = ClusterConfig(pic_k=5, pic_max_iter=20)
+# As many clusters as the graph of the clustering queries has parts: the background and the two default rings.
+PIC = ClusterConfig(pic_k=3, pic_max_iter=20)
 
 
-def _clustering_facts(edges: DataFrame, assignments: DataFrame) -> DataFrame:
-    """One row of what holds for every right clustering of the edges, whatever clusters k-means picks: each node is assigned
-    once, there are at most k clusters, and inner and cross edges make up all edges and all weight."""
+def _ringed_edges(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
+    """The co-supply graph with the default rings planted beside it, written, and its nodes with their part (a ring's label or
+    ``background``)."""
+    edges = materialize(co_supply_edges(spark, sf_dir).select("src", "dst", "weight", "true_label"), "background")
+    rings = R.rings_above(spark, edges, GeneratorConfig().rings)
+    edges = materialize(E.with_weight_norm(edges.unionByName(rings)), "edges")
+    part = F.when(F.startswith("true_label", F.lit(R.RING_LABEL_PREFIX)), F.col("true_label")).otherwise(F.lit("background")).alias("part")
+    return edges, edges.select(F.col("src").alias("id"), part).union(edges.select(F.col("dst").alias("id"), part)).distinct()
+
+
+def _clustering_facts(edges: DataFrame, nodes: DataFrame, assignments: DataFrame) -> DataFrame:
+    """A row per part of the graph with what holds for every right clustering, whatever clusters k-means picks: each node is assigned
+    once, a ring is in one cluster and the graph is not, there are at most k clusters. An edge lies in a cluster of its own nodes or between two."""
     assignments = materialize(assignments, "assignments")
-    nodes = assignments.agg(
-        F.count(F.lit(1)).alias("n_assigned"), F.count_distinct("id").alias("n_nodes"),
-        (F.count_distinct("cluster") <= PIC.pic_k).alias("clusters_within_k"), F.count_if(F.col("cluster").isNull()).alias("n_without"),
+    used = assignments.agg(F.count_distinct("cluster").alias("n"), F.count(F.lit(1)).alias("rows")).select(
+        F.col("n").between(2, PIC.pic_k).alias("clusters_within_k"), F.col("rows").alias("n_assigned"))
+    parts = nodes.join(assignments, "id", "left").groupBy("part").agg(
+        F.count_distinct("id").alias("n_nodes"), F.count_if(F.col("cluster").isNull()).alias("n_without"), F.count_distinct("cluster").alias("n_clusters"))
+    cut = C.enrich_edges(edges, assignments).join(nodes.withColumnRenamed("id", "src"), "src").groupBy("part").agg(
+        F.count(F.lit(1)).alias("n_edges"), F.count_if(~F.col("same_cluster")).alias("n_cut"))
+    ring = F.col("part") != "background"
+    return parts.join(cut, "part").select(
+        "part", "n_nodes", "n_without", "n_edges", F.when(ring, F.col("n_clusters")).alias("ring_clusters"), F.when(ring, F.col("n_cut")).alias("ring_cut"),
+        *[used.select(c).scalar().alias(c) for c in used.columns],
     )
-    same, w = F.col("same_cluster"), F.col("weight")
-    split = C.enrich_edges(edges, assignments).agg(
-        (F.count_if(same) + F.count_if(~same)).alias("n_edges"),
-        (F.coalesce(F.sum(F.when(same, w)), F.lit(0.0)) + F.coalesce(F.sum(F.when(~same, w)), F.lit(0.0))).alias("total_volume"),
-    )
-    return _rd(split.select(*[nodes.select(c).scalar().alias(c) for c in nodes.columns], "*"))
 
 
 def q_pic_clusters(spark, sf_dir):
-    edges = co_supply_edges(spark, sf_dir)
-    return _clustering_facts(edges, P.run_pic(edges, PIC))
+    """MLlib PIC on co-supply with planted rings: the facts of its clusters."""
+    edges, nodes = _ringed_edges(spark, sf_dir)
+    return _clustering_facts(edges, nodes, P.run_pic(edges, PIC))
 
 
 def q_pic_dataframe(spark, sf_dir):
-    """The same clustering from the DataFrame power iteration and MLlib k-means (fixed 20 steps)."""
-    edges = co_supply_edges(spark, sf_dir)
-    return _clustering_facts(edges, P.dataframe_pic(edges, PIC))
+    """The same from the DataFrame power iteration (20 steps) and MLlib k-means, and how many clusters reach into another's range of the
+    embedding: none, as every node is nearest to its own centre."""
+    edges, nodes = _ringed_edges(spark, sf_dir)
+    P.validate_pic_input(edges)
+    vector = materialize(P.power_iteration(edges, PIC.pic_max_iter), "embedding")
+    clusters = materialize(P.embedding_clusters(vector, PIC.pic_k), "clusters")
+    ranges = vector.join(clusters, "id").groupBy("cluster").agg(F.min("v").alias("low"), F.max("v").alias("high"))
+    before = F.max("high").over(Window.orderBy("low", "high").rowsBetween(Window.unboundedPreceding, -1))  # at most k rows
+    reaching = ranges.select((F.col("low") <= before).alias("reaches")).agg(F.count_if("reaches"))
+    return _clustering_facts(edges, nodes, clusters).withColumn("n_reaching", reaching.scalar())
 
 
 def q_pic_scores(spark, sf_dir):
-    """MLlib PIC on co-supply, then metrics, scores and flags (the reference's main path): what holds for all of them."""
+    """MLlib PIC on co-supply with planted rings, then metrics, scores and flags (the whole main path): what holds for all of them."""
     from ringlens.plans.runner import analyze_edges
 
-    out = analyze_edges(co_supply_edges(spark, sf_dir), PIC)
+    edges, _ = _ringed_edges(spark, sf_dir)
+    out = analyze_edges(edges, PIC)
     cross = C.intra_cross_split(out["enriched"]).select("cross_edges").scalar()
     flagged = (F.col("fraud_score") >= PIC.fraud_score_threshold) & (F.col("n_nodes") <= PIC.micro_cluster_max_size) & (
         F.col("internal_density") >= PIC.min_internal_density)
     return out["scored"].agg(
-        F.sum("n_nodes").alias("n_nodes"), (F.count(F.lit(1)) <= PIC.pic_k).alias("clusters_within_k"),
+        F.sum("n_nodes").alias("n_nodes"), F.count(F.lit(1)).between(2, PIC.pic_k).alias("clusters_within_k"),
         (F.sum("n_edges") + cross).alias("n_edges"), F.count_if(flagged != F.col("is_fraud_ring")).alias("wrong_flags"),
         F.count_if(~F.col("fraud_score").between(0, 1)).alias("scores_out_of_range"),
         F.max("volume_per_node_norm").alias("largest_volume_norm"),

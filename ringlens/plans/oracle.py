@@ -588,14 +588,22 @@ SELECT id, cluster, row_number() OVER (ORDER BY cluster, id) - 1 AS position FRO
 SELECT 'P' || CAST(l_partkey AS VARCHAR) AS src_key, 'S' || CAST(l_suppkey AS VARCHAR) AS dst_key,
        CASE WHEN l_linenumber % 7 = 6 THEN round(CAST(l_quantity AS DOUBLE), 6) ELSE 1.0 END AS weight, 'unknown' AS true_label
 FROM lineitem WHERE l_orderkey % 7 > 1 AND l_suppkey % 11 <> 0"""
-    q["pic_clusters"] = q["pic_dataframe"] = f"""WITH {CS_EDGES},
-nn AS (SELECT count(*) AS n FROM (SELECT src FROM cs_edges UNION SELECT dst FROM cs_edges))
-SELECT (SELECT n FROM nn) AS n_assigned, (SELECT n FROM nn) AS n_nodes, true AS clusters_within_k, CAST(0 AS BIGINT) AS n_without,
-       count(*) AS n_edges, round(sum(weight), 4) AS total_volume FROM cs_edges"""
-    q["pic_scores"] = f"""WITH {CS_EDGES},
-nn AS (SELECT count(*) AS n FROM (SELECT src FROM cs_edges UNION SELECT dst FROM cs_edges))
-SELECT (SELECT n FROM nn) AS n_nodes, true AS clusters_within_k, count(*) AS n_edges, CAST(0 AS BIGINT) AS wrong_flags,
-       CAST(0 AS BIGINT) AS scores_out_of_range, CAST(1.0 AS DOUBLE) AS largest_volume_norm FROM cs_edges"""
+    ringed = f"""WITH {CS_EDGES},
+cs_top AS (SELECT greatest(max(src), max(dst)) AS top FROM cs_edges),
+ringed AS (
+SELECT src, dst, 'background' AS part FROM cs_edges
+UNION ALL
+{_planted(rings)}),
+ends AS (SELECT src AS id, part FROM ringed UNION SELECT dst, part FROM ringed)"""
+    facts = """
+SELECT part, (SELECT count(*) FROM ends e WHERE e.part = r.part) AS n_nodes, CAST(0 AS BIGINT) AS n_without, count(*) AS n_edges,
+       CASE WHEN part <> 'background' THEN CAST(1 AS BIGINT) END AS ring_clusters, CASE WHEN part <> 'background' THEN CAST(0 AS BIGINT) END AS ring_cut,
+       true AS clusters_within_k, (SELECT count(*) FROM ends) AS n_assigned"""
+    q["pic_clusters"] = f"{ringed}{facts} FROM ringed r GROUP BY part"
+    q["pic_dataframe"] = f"{ringed}{facts}, CAST(0 AS BIGINT) AS n_reaching FROM ringed r GROUP BY part"
+    q["pic_scores"] = f"""{ringed}
+SELECT (SELECT count(*) FROM ends) AS n_nodes, true AS clusters_within_k, count(*) AS n_edges, CAST(0 AS BIGINT) AS wrong_flags,
+       CAST(0 AS BIGINT) AS scores_out_of_range, CAST(1.0 AS DOUBLE) AS largest_volume_norm FROM ringed"""
     q["label_breakdown"] = f"""WITH {CP_EDGES}
 SELECT true_label, count(*) AS edge_count, round(avg(weight), 2) AS avg_weight, round(stddev_samp(weight), 2) AS std_weight,
        round(sum(weight), 2) AS total_volume
