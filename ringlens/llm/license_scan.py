@@ -8,6 +8,9 @@ Two exact bounds come first. A unit can only reach the threshold t with a templa
 t b / (2 - t) and (2 - t) b / t bigrams. And it then shares so many bigrams with the template that it must contain one of a few
 of them, the template's signals: texts and units without any signal are not looked at further.
 
+Templates of different licences can be alike, as two versions of one header are. So where a template reaches the threshold with another
+licence's, a unit must also have a bigram that tells the two apart.
+
 Windows begin and end with a bigram of the template, as others at an end only lower the coefficient, have at most the largest
 size, and hold at least as many places of template bigrams as a match needs.
 """
@@ -38,6 +41,84 @@ TEMPLATES = {
 }
 
 
+# Standard headers and telling paragraphs of public licence texts.
+TEXTS = {
+    "AGPL-3.0": (
+        "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero General Public License as "
+        "published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version.",
+        "GNU AFFERO GENERAL PUBLIC LICENSE Version 3, 19 November 2007 Copyright (C) 2007 Free Software Foundation, Inc.",
+    ),
+    "Apache-2.0": (
+        'Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file except in compliance with the License. '
+        "You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0",
+        "Apache License Version 2.0, January 2004 http://www.apache.org/licenses/ TERMS AND CONDITIONS FOR USE, REPRODUCTION, AND DISTRIBUTION",
+    ),
+    "BSD-2-Clause": (
+        "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following "
+        "conditions are met:",
+    ),
+    "BSD-3-Clause": (
+        "Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from "
+        "this software without specific prior written permission.",
+    ),
+    "BSL-1.0": (
+        "Permission is hereby granted, free of charge, to any person or organization obtaining a copy of the software and accompanying "
+        'documentation covered by this license (the "Software") to use, reproduce, display, distribute, execute, and transmit the Software',
+    ),
+    "CC-BY-NC-4.0": ("This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License.",),
+    "CC-BY-SA-4.0": ("This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License.",),
+    "CC0-1.0": (
+        "To the extent possible under law, the author has waived all copyright and related or neighboring rights to this work.",
+        "CC0 1.0 Universal (CC0 1.0) Public Domain Dedication",
+    ),
+    "GPL-2.0": (
+        "This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public License as "
+        "published by the Free Software Foundation; either version 2 of the License, or (at your option) any later version.",
+        "GNU GENERAL PUBLIC LICENSE Version 2, June 1991 Copyright (C) 1989, 1991 Free Software Foundation, Inc.",
+        "Licensed under the GNU General Public License v2",
+    ),
+    "GPL-3.0": (
+        "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as "
+        "published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version.",
+        "GNU GENERAL PUBLIC LICENSE Version 3, 29 June 2007 Copyright (C) 2007 Free Software Foundation, Inc.",
+        "Licensed under the GNU General Public License v3",
+    ),
+    "ISC": (
+        "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided "
+        "that the above copyright notice and this permission notice appear in all copies.",
+    ),
+    "LGPL-2.1": (
+        "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as "
+        "published by the Free Software Foundation; either version 2.1 of the License, or (at your option) any later version.",
+    ),
+    "LGPL-3.0": (
+        "This library is free software: you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as "
+        "published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version.",
+    ),
+    "MIT": (
+        "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files "
+        '(the "Software"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, '
+        "publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do "
+        "so, subject to the following conditions:",
+        "Licensed under the MIT License.",
+    ),
+    "Unlicense": (
+        "This is free and unencumbered software released into the public domain. Anyone is free to copy, modify, publish, use, compile, sell, "
+        "or distribute this software, either in source code form or as a compiled binary, for any purpose, commercial or non-commercial, and "
+        "by any means.",
+    ),
+    "Zlib": (
+        "This software is provided 'as-is', without any express or implied warranty. In no event will the authors be held liable for any "
+        "damages arising from the use of this software.",
+    ),
+}
+
+
+def all_templates() -> dict[str, tuple[str, ...]]:
+    """Per licence its notice and its texts."""
+    return {k: (*([TEMPLATES[k]] if k in TEMPLATES else []), *TEXTS.get(k, ())) for k in sorted({*TEMPLATES, *TEXTS})}
+
+
 def _template_words(text: str) -> list[str]:
     return re.findall(r"[^\W_]+", text.lower())
 
@@ -68,18 +149,14 @@ def normalised(text: Column) -> Column:
     return F.concat(F.lit(" "), F.trim(F.regexp_replace(F.lower(text), r"[^\p{L}\p{N}]+", " ")), F.lit(" "))
 
 
-def _any_in(text: Column, found: list[str]) -> Column:
-    return reduce(Column.__or__, [F.contains(text, F.lit(f" {b} ")) for b in found], F.lit(False))
+def _constant(values: list[str]) -> Column:
+    """A constant array of words or bigrams, which hold no line breaks."""
+    return F.split(F.lit("\n".join(values)), "\n")
 
 
-def _may_have(lower: Column, found: list[str]) -> Column:
-    """Whether a lower-case text can have one of the bigrams, from the text as it is: a long word of theirs occurs in it, or
-    the two words with only separators between them."""
-    longest = {max(b.split(), key=lambda w: (len(w), w)) for b in found if max(map(len, b.split())) >= 5}
-    words = [w for w in sorted(longest) if not any(v != w and v in w for v in longest)]
-    short = [r"[^\p{L}\p{N}]+".join(b.split()) for b in found if max(map(len, b.split())) < 5]
-    tests = [F.contains(lower, F.lit(w)) for w in words] + [lower.rlike(x) for x in short]
-    return reduce(Column.__or__, tests, F.lit(False))
+def _longest_words(found: list[str]) -> list[str]:
+    """The longer word of each bigram."""
+    return sorted({max(b.split(), key=lambda w: (len(w), w)) for b in found})
 
 
 def bigrams(words: Column) -> Column:
@@ -95,7 +172,7 @@ def windows(words: Column, own: list[str], threshold: float) -> Column:
     _, high = size_bounds(len(own), threshold)
     least = least_common(len(own), threshold)
     pairs = F.transform(F.sequence(F.lit(1), F.size(words) - 1), lambda i: F.struct(i.alias("i"), F.concat_ws(" ", F.get(words, i - 1), F.get(words, i)).alias("p")))
-    places = F.transform(F.filter(pairs, lambda x: F.array_contains(F.array(*[F.lit(b) for b in own]), x["p"])), lambda x: x["i"])
+    places = F.transform(F.filter(pairs, lambda x: F.array_contains(_constant(own), x["p"])), lambda x: x["i"])
 
     def around(at: Column) -> Column:
         def from_place(k: Column) -> Column:  # k counts from 1, and so do the places in ``at``
@@ -110,35 +187,53 @@ def windows(words: Column, own: list[str], threshold: float) -> Column:
     return F.when(F.size(words) > 1, bound).otherwise(F.array().cast("array<string>"))
 
 
+def telling(forms: list[tuple[str, list[str]]], at: int, threshold: float) -> list[list[str]]:
+    """What tells a template from those of other licences that it reaches the threshold with: its bigrams that they lack."""
+    name, own = forms[at]
+    out = []
+    for other, theirs in forms:
+        common = len(set(own) & set(theirs))
+        if other != name and 2 * common >= threshold * (len(own) + len(theirs)):
+            out.append(sorted(set(own) - set(theirs)))
+    return out
+
+
 def license_scan(
-    documents: DataFrame, id_col: str = "doc_id", text_col: str = "text", templates: dict[str, str] | None = None,
+    documents: DataFrame, id_col: str = "doc_id", text_col: str = "text", templates: dict[str, str | tuple[str, ...]] | None = None,
     threshold: float = THRESHOLD,
 ) -> DataFrame:
     """One row per document: doc_id, n_licenses, licenses, best_license, best_dice.
 
-    ``licenses`` is an array of (license, dice, unit) by name: per matching licence its best coefficient and a unit that has it
+    ``templates`` has one or more texts per licence (default: :func:`all_templates`). ``licenses`` is an array of (license, dice, unit) by
+    name: per matching licence its best coefficient and a unit that has it
     (the normalised words). The best licence has the largest coefficient, of equal ones the first name. Null and empty texts and texts without a
-    match have no licences, a null best licence and 0. Repeated rows each have a row.
+    match have no licences, a null best licence and 0. Repeated rows each have a row. A template that has no bigram of its own beside a like
+    one of another licence never matches.
     """
-    forms = {}
-    for name, text in sorted((templates or TEMPLATES).items()):
-        pairs = _template_bigrams(_template_words(text))
-        if not pairs:
-            raise ValueError(f"template {name} has fewer than two words")
-        forms[name] = pairs
-    signs = sorted({b for pairs in forms.values() for b in signals(pairs, threshold)})
-
-    def matches(unit: Column) -> Column:
+    forms: list[tuple[str, list[str]]] = []
+    for name, texts in sorted((templates or all_templates()).items()):
+        for text in [texts] if isinstance(texts, str) else texts:
+            pairs = _template_bigrams(_template_words(text))
+            if not pairs:
+                raise ValueError(f"template {name} has fewer than two words")
+            forms.append((name, pairs))
+    own_signs = [signals(own, threshold) for _, own in forms]
+    signs = sorted({b for found in own_signs for b in found})
+    tells = [telling(forms, at, threshold) for at in range(len(forms))]
+
+    def hits(unit: Column, tried: range | list[int]) -> Column:
         # bound to a lambda's variable, the words are split once and not for every bigram
         pairs = F.element_at(F.transform(F.array(F.split(F.trim(unit), " ")), bigrams), 1)
 
         def against(p: Column) -> Column:
             size = F.size(p)
             found = []
-            for name, own in forms.items():
+            for at in tried:
+                name, own = forms[at]
                 low, high = size_bounds(len(own), threshold)
-                common = F.size(F.array_intersect(p, F.array(*[F.lit(x) for x in own])))
-                dice = F.when(size.between(low, high), 2.0 * common / (size + len(own))).otherwise(0.0)
+                fits = reduce(Column.__and__, [F.arrays_overlap(p, _constant(t)) if t else F.lit(False) for t in tells[at]], size.between(low, high))
+                common = F.size(F.array_intersect(p, _constant(own)))
+                dice = F.when(fits, 2.0 * common / (size + len(own))).otherwise(0.0)
                 found.append(F.struct(F.lit(name).alias("license"), dice.alias("dice"), F.trim(unit).alias("unit")))
             return F.filter(F.array(*found), lambda m: m["dice"] >= threshold)
 
@@ -146,24 +241,24 @@ def license_scan(
 
     docs = only_columns(documents, doc_id=id_col, text=text_col)
     text = F.coalesce("text", F.lit(""))
-    parts = F.concat(F.split(text, r"\n\s*\n"), F.split(text, r"\n"))
-    units = F.filter(
-        F.array_distinct(F.concat(F.array("whole"), F.transform(parts, normalised), "windows")), lambda u: _any_in(u, signs)
-    )
-    none = F.array().cast("array<string>")
-    inside = F.element_at(
-        F.transform(
-            F.array(F.split(F.trim("whole"), " ")),
-            lambda words: F.concat(*[F.when(_any_in(F.col("whole"), signals(own, threshold)), windows(words, own, threshold)).otherwise(none) for own in forms.values()]),
-        ), 1,
-    )
+    nothing = F.array().cast("array<struct<license:string,dice:double,unit:string>>")
+    some = F.arrays_overlap("pairs", _constant(signs))
+
+    def in_units() -> Column:
+        parts = F.concat(F.split(text, r"\n\s*\n"), F.split(text, r"\n"))
+        units = F.array_distinct(F.concat(F.array(normalised(text)), F.transform(parts, normalised)))
+        return F.flatten(F.transform(units, lambda u: hits(u, range(len(forms)))))
+
+    def in_windows(at: int) -> Column:
+        own = forms[at][1]
+        spans = F.flatten(F.transform(F.array("words"), lambda words: windows(words, own, threshold)))
+        return F.when(F.arrays_overlap("pairs", _constant(own_signs[at])), F.flatten(F.transform(F.array_distinct(spans), lambda u: hits(u, [at])))).otherwise(nothing)
+
     found = (
-        docs.withColumn("lower", F.lower(text))
-        # most texts have no word of a signal and are not normalised
-        .withColumn("whole", F.when(_may_have(F.col("lower"), signs), normalised(F.col("lower"))).otherwise(F.lit("")))
-        .withColumn("windows", F.when(_any_in(F.col("whole"), signs), inside).otherwise(none))
-        .withColumn("units", F.when(_any_in(F.col("whole"), signs), units).otherwise(F.array().cast("array<string>")))
-        .select("doc_id", F.flatten(F.transform("units", matches)).alias("hits"))
+        docs.withColumn("words", F.split(F.trim(normalised(text)), " "))
+        # most texts have no word of a signal, and of the others most have no signal
+        .withColumn("pairs", F.when(F.arrays_overlap("words", _constant(_longest_words(signs))), bigrams(F.col("words"))).otherwise(F.array().cast("array<string>")))
+        .select("doc_id", F.when(some, F.concat(in_units(), *[in_windows(at) for at in range(len(forms))])).otherwise(nothing).alias("hits"))
     )
     best = F.transform(
         F.array_distinct(F.array_sort(F.transform("hits", lambda m: m["license"]))),

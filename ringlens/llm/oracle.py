@@ -87,26 +87,46 @@ FROM p LEFT JOIN m ON m.k = 1 AND m.page_id = p.page_id AND m.host = p.host AND
 
 
 def _op5() -> str:
-    from ringlens.llm.license_scan import TEMPLATES, _template_bigrams, _template_words
+    from ringlens.llm.license_scan import all_templates
 
-    rows = []
-    for name, text in TEMPLATES.items():
-        pairs = ", ".join("'" + b.replace("'", "''") + "'" for b in _template_bigrams(_template_words(text)))
-        rows.append(f"('{name}', [{pairs}])")
-    clean = r"trim(regexp_replace(lower({}), '[^\p{{L}}\p{{N}}]+', ' ', 'g'))"
+    texts = [(name, text.replace("'", "''")) for name, of in all_templates().items() for text in of]
+    rows = ", ".join(f"({i}, '{name}', '{text}')" for i, (name, text) in enumerate(texts))
+    words = r"string_split(trim(regexp_replace(lower({}), '[^\p{{L}}\p{{N}}]+', ' ', 'g')), ' ')"
+    pairs = "list_distinct(list_transform(range(1, len({0})), lambda i: {0}[i] || ' ' || {0}[i + 1]))"
     return rf"""
-WITH tpl(license, own) AS (VALUES {", ".join(rows)}),
-u AS (
-  SELECT doc_id, unnest(list_distinct(list_concat([text], regexp_split_to_array(text, '\n\s*\n'), string_split(text, chr(10))))) AS unit
-  FROM (SELECT doc_id, coalesce(text, '') AS text FROM documents)
+WITH tpl AS MATERIALIZED (
+  SELECT tid, license, {pairs.format("ws")} AS own FROM (SELECT tid, license, {words.format("t")} AS ws FROM (VALUES {rows}) v(tid, license, t))
+),
+apart AS MATERIALIZED (
+  SELECT a.tid, list_filter(a.own, lambda x: NOT list_contains(b.own, x)) AS tells FROM tpl a JOIN tpl b ON a.license <> b.license
+  WHERE 2.0 * len(list_intersect(a.own, b.own)) / (len(a.own) + len(b.own)) >= 0.8
 ),
-w AS (SELECT doc_id, string_split({clean.format("unit")}, ' ') AS ws FROM u),
-b AS (
-  SELECT doc_id, list_distinct(list_transform(range(1, len(ws)), lambda i: ws[i] || ' ' || ws[i + 1])) AS pairs FROM w WHERE len(ws) > 1
+docs AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),
+u AS (
+  SELECT doc_id, unnest(list_distinct(list_concat([text], regexp_split_to_array(text, '\n\s*\n'), string_split(text, chr(10))))) AS unit FROM docs
+),
+b AS (SELECT doc_id, {pairs.format("ws")} AS pairs FROM (SELECT doc_id, {words.format("unit")} AS ws FROM u) WHERE len(ws) > 1),
+whole AS (SELECT doc_id, {words.format("text")} AS ws FROM docs),
+bi AS MATERIALIZED (SELECT doc_id, i, ws[i] || ' ' || ws[i + 1] AS bg FROM (SELECT doc_id, ws, unnest(range(1, len(ws))) AS i FROM whole)),
+place AS MATERIALIZED (
+  SELECT doc_id, tid, n, i FROM (
+    SELECT doc_id, tid, n, i, count(*) OVER (PARTITION BY doc_id, tid) AS places
+    FROM bi JOIN (SELECT tid, len(own) AS n, unnest(own) AS bg FROM tpl) USING (bg)
+  ) WHERE places >= 0.6 * n
+),
+span AS (
+  SELECT s.doc_id, s.tid, s.i AS first, e.i AS last FROM place s JOIN place e ON s.doc_id = e.doc_id AND s.tid = e.tid AND e.i BETWEEN s.i AND s.i + 1.5 * s.n
+),
+win AS (SELECT s.doc_id, s.tid, first, last, list(DISTINCT bg) AS pairs FROM span s JOIN bi ON bi.doc_id = s.doc_id AND bi.i BETWEEN first AND last GROUP BY 1, 2, 3, 4),
+tried AS (
+  SELECT doc_id, pairs, tid, license, own FROM b JOIN tpl ON len(pairs) <= 4 * len(own)
+  UNION ALL
+  SELECT doc_id, pairs, tid, license, own FROM win JOIN tpl USING (tid)
 ),
 m AS (
-  SELECT doc_id, license, max(2.0::DOUBLE * len(list_intersect(pairs, own)) / (len(pairs) + len(own))) AS dice
-  FROM b JOIN tpl ON len(pairs) <= 4 * len(own) GROUP BY 1, 2 HAVING dice >= 0.8
+  SELECT doc_id, license, max(dice) AS dice
+  FROM (SELECT doc_id, tid, license, pairs, 2.0::DOUBLE * len(list_intersect(pairs, own)) / (len(pairs) + len(own)) AS dice FROM tried) t
+  WHERE dice >= 0.8 AND NOT EXISTS (SELECT 1 FROM apart a WHERE a.tid = t.tid AND NOT list_has_any(a.tells, t.pairs)) GROUP BY 1, 2
 ),
 g AS (
   SELECT doc_id, count(*) AS n, string_agg(license, ',' ORDER BY license) AS names, max(dice) AS top,

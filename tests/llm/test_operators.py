@@ -287,9 +287,48 @@ def test_licenses_inside_lines_and_wrapped_over_lines(spark):
     assert got == [(1, "Apache-2.0", 1.0), (2, "MPL-2.0", 1.0), (3, "GPL-3.0", 1.0), (4, None, 0.0)]
 
 
+def _made_documents():
+    texts = license_scan.TEXTS
+    comment = lambda t, mark: "\n".join(f"{mark} {' '.join(t.split()[i : i + 8])}" for i in range(0, len(t.split()), 8))
+    rows = [(i, f"tool.c\n{comment(t, '#')}\n#\n# more to read\ncode = 1") for i, t in enumerate(t for of in texts.values() for t in of)]
+    rows += [(100 + i, f"Some words before. {t} And words after it, in one line.") for i, t in enumerate(t for of in texts.values() for t in of)]
+    mit = texts["MIT"][0]
+    rows += [
+        (200, f"MIT License\n\nCopyright (c) 2020 A\n\n{mit}\n\nThe above copyright notice shall be kept.\n"), (201, mit.replace("free of charge", "gratis")),
+        (202, "free software under a public license, without restriction, to any person"), (203, f"{texts['GPL-2.0'][0]}\n\n{texts['GPL-3.0'][0]}"),
+        (204, texts["GPL-3.0"][0].replace("version 3 of the License", "any version")), (205, None), (206, ""),
+        (207, f"{texts['BSD-2-Clause'][0]}\n1. x\n{texts['BSD-3-Clause'][0]}"),
+    ]
+    return rows
+
+
+def test_whole_texts_and_headers_are_found_and_told_apart(spark):
+    got = {r.doc_id: [m.license for m in r.licenses] for r in license_scan.license_scan(_docs(spark, _made_documents())).collect()}
+    names = [name for name, of in license_scan.TEXTS.items() for _ in of]
+    for i, name in enumerate(names):
+        assert got[i] == [name] and got[100 + i] == [name], (name, got[i], got[100 + i])
+    assert got[200] == ["MIT"] and got[201] == ["MIT"] and got[202] == [] and got[203] == ["GPL-2.0", "GPL-3.0"]
+    assert got[204] == [] and got[205] == [] and got[206] == [] and got[207] == ["BSD-2-Clause", "BSD-3-Clause"]
+
+
+def test_made_notices_equal_sql(spark, tmp_path):
+    import duckdb
+
+    from ringlens.llm.oracle import ORACLE
+    from ringlens.llm.queries import QUERIES
+
+    _docs(spark, _made_documents()).coalesce(1).write.parquet(str(tmp_path / "documents.parquet"))
+    got = {r.doc_id: (r.n_licenses, r.licenses, r.best_license, round(r.best_dice, 9)) for r in QUERIES["op5_license_scan"](spark, str(tmp_path)).collect()}
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM read_parquet('{tmp_path}/documents.parquet/*.parquet')")
+    con.execute(f"CREATE TABLE found AS {ORACLE['op5_license_scan']}")
+    want = {r[0]: (r[1], r[2], r[3], round(r[4], 9)) for r in con.execute("SELECT doc_id, n_licenses, licenses, best_license, best_dice FROM found").fetchall()}
+    assert got == want and sum(n for n, *_ in got.values()) > 40
+
+
 def test_signals_are_in_every_unit_that_matches():
     rnd = random.Random(1)
-    for text in license_scan.TEMPLATES.values():
+    for text in [t for of in license_scan.all_templates().values() for t in of]:
         words = license_scan._template_words(text)
         own = set(license_scan._template_bigrams(words))
         signs = set(license_scan.signals(sorted(own), 0.8))
