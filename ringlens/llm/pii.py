@@ -14,7 +14,7 @@ All scanning is one pass over a text: every pattern starts at a fixed character
 from __future__ import annotations
 
 import re
-from bisect import bisect_left, insort
+from bisect import bisect_left
 from collections.abc import Iterator
 from itertools import accumulate
 
@@ -40,6 +40,8 @@ _CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _LOOSE_EMAIL = re.compile(r"@[^\s@<>,;:()\[\]]+")
 _LOOSE_NUMBER = re.compile(r"\+?\(?[0-9](?:[\x20().\-/]{0,2}[0-9])*")
+_SPACED_IP = re.compile(r"(?<![0-9])[0-9]{1,3}(?:(?:\[\.\]|\(\.\)|\[dot\]|\x20?\.\x20?)[0-9]{1,3}){3}(?![0-9])")
+_COLON_IP = re.compile(r"(?<![0-9A-Za-z:])[0-9A-Fa-f]{0,4}(?::[0-9A-Fa-f]{0,4}){2,7}(?![0-9A-Za-z:])")
 _WORDS = {
     "email": re.compile(r"mail|contact|write", re.I), "ip": re.compile(r"\bip\b|host|server|address", re.I),
     "card": re.compile(r"card|visa|credit|account", re.I), "phone": re.compile(r"phone|call|\btel\b|mobile|fax", re.I),
@@ -95,7 +97,8 @@ def base_spans(text: str | None) -> list[tuple[int, int, int]]:
 
 def candidates(text: str) -> list[tuple[int, int, int]]:
     """High-recall proposals (start, kind, end): anything around an at sign, and every number with its separators as a
-    card, a phone number and, if dotted, an address. They overlap each other and the base spans."""
+    card, a phone number and, if dotted, an address, and groups of digits or hexadecimal digits with brackets, spaces or colons between them as
+    an address. They overlap each other and the base spans."""
     out = set()
     done = 0
     for m in _LOOSE_EMAIL.finditer(text):
@@ -111,6 +114,8 @@ def candidates(text: str) -> list[tuple[int, int, int]]:
             out.update({(m.start(), 2, m.end()), (m.start(), 3, m.end())})
         if n <= 12 and m.group().count(".") == 3:
             out.add((m.start(), 1, m.end()))
+    out.update((m.start(), 1, m.end()) for m in _SPACED_IP.finditer(text))
+    out.update((m.start(), 1, m.end()) for m in _COLON_IP.finditer(text) if any(map(str.isdigit, m.group())))
     out.update(base_spans(text))
     return sorted(out)
 
@@ -123,6 +128,7 @@ def features(text: str, span: tuple[int, int, int]) -> list[float]:
     parts = [p for p in re.split(r"[^0-9]+", s) if p]
     before, after = text[start - 1 : start], text[end : end + 1]
     domain = s.partition("@")[2]
+    groups = s.split(":")
     return [
         *[float(kind == k) for k in range(len(KINDS))], float(len(s)), float(len(digits)), len(digits) / len(s),
         float(s.startswith("+")), float(s.count(".")), float(len(parts)), float(max(map(len, parts), default=0)),
@@ -130,6 +136,7 @@ def features(text: str, span: tuple[int, int, int]) -> list[float]:
         float("@" in s), float(domain.count(".")), float(len(domain.rpartition(".")[2])), float(s.isascii()),
         float(len(parts[0]) if parts else 0), float(len(parts[-1]) if parts else 0), float(before.isalnum()), float(after.isalnum()), float(bool(re.search(r"[()/]", s))),
         float(bool(_WORDS[KINDS[kind]].search(text, max(0, start - CONTEXT), start))),
+        float(len(groups)), float(max(map(len, groups))), float("::" in s), float(s.count("[") + s.count("(")), float(s.count(" ")),
     ]
 
 
@@ -141,6 +148,19 @@ def rewritten(s: str, kind: int, draw: int) -> list[tuple[str, bool]]:
         odd = "äéöñüçøš"[draw % 8]
         short = ".".join(domain.split(".")[-2:])
         return [(f"{local[:-1]}{odd}@{domain}", True), (f"{local}@{odd}{domain}", True), (f"{local}@{odd}{short}", True), (f"{local}@{domain.replace('.', '')}", False), (f"{local}@{short.partition('.')[0]}", False)]
+    if KINDS[kind] == "ip":
+        a, b, c, d = (int(x) for x in s.split("."))
+        high = 256 + draw % 700
+        joints = ("[.]", "(.)", " . ", "[dot]")
+        joint, other = joints[draw % 4], joints[draw // 4 % 4]
+        mac = ":".join(f"{x:02x}" for x in (a, b, c, d, draw % 256, draw // 256 % 256))
+        clock = f"{draw % 24:02d}:{a % 60:02d}:{b % 60:02d}"
+        clean = (mac, clock, f"{2000 + a % 40}:{1 + b % 12:02d}:{1 + c % 28:02d}:{clock}", f"{a}:{b}:{c}", f"{c}:{d}:{a}:{b}")
+        return [
+            (joint.join(map(str, (a, b, c, d))), True), (f"2001:db8:{a:x}:{b:x}::{c:x}:{d:x}", True), (f"fe80::{a:x}{b:02x}:{c:x}{d:02x}", True),
+            (":".join(f"{x:x}" for x in (0x2001, draw % 65536, a, b * 256 + c, d, draw // 7 % 65536, b, c * 256 + d)), True),
+            (other.join(map(str, (a, high, c, d))), False), *[(clean[(draw + i) % len(clean)], False) for i in (0, 2)],
+        ]
     if KINDS[kind] == "card":
         four = [digits[i : i + 4] for i in range(0, len(digits), 4)]
         wrong = digits[:-1] + str((int(digits[-1]) + 1 + draw % 9) % 10)
@@ -171,6 +191,8 @@ def _fails(text: str, span: tuple[int, int, int]) -> bool:
         return False
     if KINDS[kind] == "email":
         return "." not in s.partition("@")[2]
+    if KINDS[kind] == "ip" and ":" in s:
+        return "::" not in s and s.count(":") != 7
     if KINDS[kind] == "ip":
         return any(len(p) > 3 or int(p) > 255 for p in re.findall(r"[0-9]+", s))
     if KINDS[kind] == "card":
@@ -224,9 +246,14 @@ class Trees:
             return base, base
         scores = self.score(np.array([features(text, c) for c in free]))
         added: list[tuple[int, int, int]] = []
+        starts: list[int] = []  # of the added spans, in order; as they do not overlap, their ends are in order too
+        ends: list[int] = []
         for s, c in sorted(zip(-scores, free, strict=True)):  # best first; ties by place and kind
-            if -s >= self.least[c[1]] and not Cover(added).touches(c):
-                insort(added, c)
+            i = bisect_left(starts, c[2])
+            if -s >= self.least[c[1]] and (i == 0 or ends[i - 1] <= c[0]):
+                added.append(c)
+                starts.insert(i, c[0])
+                ends.insert(i, c[2])
         return base, sorted(base + added)
 
 
@@ -261,15 +288,15 @@ def _flat(tree) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
 
 
 def fit(docs: DataFrame, texts: int = TRAIN_TEXTS, most: int = TRAIN_CANDIDATES, precision: float = PRECISION) -> Trees:
-    """Trees fitted on about ``texts`` texts of (text) that have a digit or an at sign, drawn by a hash of the text.
+    """Trees fitted on about ``texts`` different texts of (text) that have a digit or an at sign, drawn by a hash of the text.
 
-    The labels are those of :func:`labelled`.
+    The labels are those of :func:`labelled`. A text counts once, however often the table has it, so the draw stays near its bound.
     """
     from pyspark.ml.classification import GBTClassifier
     from pyspark.ml.functions import array_to_vector
 
     eligible = small_batches(docs).select("text", F.xxhash64("text").alias("h")).filter(F.col("text").rlike("[0-9@]"))
-    n = eligible.count()
+    n = eligible.select("h").distinct().count()
     share = min(1.0, texts / max(n, 1))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -285,7 +312,8 @@ def fit(docs: DataFrame, texts: int = TRAIN_TEXTS, most: int = TRAIN_CANDIDATES,
             arrays = [pa.array(x, pa.list_(pa.float64())), pa.array(y, pa.float64()), pa.array(text, pa.int64()), pa.array(place, pa.int64()), pa.array(part, pa.bool_())]
             yield pa.record_batch(arrays, ["x", "label", "h", "place", "left_out"])
 
-    drawn = eligible.filter(F.pmod(F.col("h"), F.lit(1 << 20)) < share * (1 << 20)).mapInArrow(run, "x array<double>, label double, h long, place long, left_out boolean")
+    once = eligible.filter(F.pmod(F.col("h"), F.lit(1 << 20)) < share * (1 << 20)).groupBy("h").agg(F.min("text").alias("text"))
+    drawn = once.select("text", "h").mapInArrow(run, "x array<double>, label double, h long, place long, left_out boolean")
     drawn = materialize(drawn, "pii-candidates")
     share = min(1.0, most / max(drawn.count(), 1))
     rows = drawn.filter(F.pmod(F.xxhash64("h", "place"), F.lit(1 << 20)) < share * (1 << 20))

@@ -463,6 +463,44 @@ def test_trees_add_forms_that_no_base_rule_lists(spark):
     assert len(wrong) <= base + 1, [(t, got[i]) for i, t in rows if wanted.get(i) == "" and got[i]][:9]
 
 
+def test_trees_add_addresses_in_other_forms(spark):
+    rnd = random.Random(9)
+    words = "the river runs along old walls and then some people went home".split()
+
+    def some(n):
+        return " ".join(rnd.choice(words) for _ in range(n))
+
+    def four():
+        return [str(rnd.randint(1, 255)) for _ in range(4)]
+
+    rows = [(i, f"{some(5)} {'.'.join(four())} {some(4)}") for i in range(900)]
+    wanted = {}
+    for i in range(30):
+        hexes = [f"{rnd.randint(4096, 65535):x}" for _ in range(8)]
+        forms = ["[.]".join(four()), " . ".join(four()), f"2001:db8:{hexes[0]}:{hexes[1]}::{hexes[2]}", ":".join(["2001", *hexes[1:]])]
+        clean = [f"{rnd.randint(10, 23)}:{rnd.randint(10, 59)}:{rnd.randint(10, 59)}", ":".join(f"{rnd.randint(16, 255):x}" for _ in range(6)), "12[.]400[.]3[.]9"]
+        for k, form in enumerate(forms + clean):
+            before = some(4)
+            rows.append((1000 + 10 * i + k, f"{before} {form} {some(4)}"))
+            wanted[rows[-1][0]] = f"ip:{len(before) + 1}:{len(before) + 1 + len(form)}" if form in forms else ""
+    got = {r.doc_id: r.spans for r in pii.personal_data(spark.createDataFrame(rows * 3, "doc_id long, text string")).collect()}
+    hit = [got[i] == w for i, w in wanted.items() if w]
+    assert sum(hit) >= 0.9 * len(hit), [(got[i], w) for i, w in wanted.items() if w and got[i] != w][:9]
+    wrong = [(t, got[i]) for i, t in rows if wanted.get(i) == "" and got[i]]
+    assert len(wrong) <= 1, wrong[:9]
+
+
+def test_many_added_spans_in_one_text():
+    import time
+
+    all_in = pii.Trees([], [], [0.4] * 4)  # no tree: every score is one half
+    text = "0123 456 7890 x " * 20_000
+    began = time.perf_counter()
+    base, spans = all_in.spans(text)
+    assert base == [] and len(spans) == 20_000 and all(a[2] <= b[0] for a, b in zip(spans, spans[1:], strict=False))
+    assert time.perf_counter() - began < 30
+
+
 # ---------------------------------------------------------------- op 9
 
 
