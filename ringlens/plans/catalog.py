@@ -382,13 +382,14 @@ PIC = ClusterConfig(pic_k=3, pic_max_iter=20)
 
 
 def _ringed_edges(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
-    """The co-supply graph with the default rings planted beside it, written, and its nodes with their part (a ring's label or
-    ``background``)."""
-    edges = materialize(co_supply_edges(spark, sf_dir).select("src", "dst", "weight", "true_label"), "background")
+    """The co-supply graph with the default rings planted beside it, and its nodes with their part (a ring's label or
+    ``background``), both written."""
+    edges = co_supply_edges(spark, sf_dir).select("src", "dst", "weight", "true_label")
     rings = R.rings_above(spark, edges, GeneratorConfig().rings)
     edges = materialize(E.with_weight_norm(edges.unionByName(rings)), "edges")
     part = F.when(F.startswith("true_label", F.lit(R.RING_LABEL_PREFIX)), F.col("true_label")).otherwise(F.lit("background")).alias("part")
-    return edges, edges.select(F.col("src").alias("id"), part).union(edges.select(F.col("dst").alias("id"), part)).distinct()
+    nodes = edges.select(F.col("src").alias("id"), part).union(edges.select(F.col("dst").alias("id"), part)).distinct()
+    return edges, materialize(nodes, "nodes")
 
 
 def _clustering_facts(edges: DataFrame, nodes: DataFrame, assignments: DataFrame) -> DataFrame:
