@@ -497,16 +497,21 @@ def q_step_sketches(spark, sf_dir):
 
     Distinct counts are held to four standard errors, ranks to twice the 99 % error.
     """
-    edges = G.customer_transfers(spark, sf_dir).select(
-        F.trunc(F.col("booked").cast("date"), "month").alias("month"), "payer", "payee_nation", "amount")
+    edges = materialize(G.customer_transfers(spark, sf_dir).select(
+        F.trunc(F.col("booked").cast("date"), "month").alias("month"), "payer", "payee_nation", "amount"), "transfers")
     path = scratch_path(spark, "step-sketches")
     K.step_sketches(edges, "month", "payer", "payee_nation", "amount").write.parquet(path)
     stored = spark.read.parquet(path)
     labels = {"month": F.date_format("step", "yyyy-MM"), "year": F.date_format("step", "yyyy"), "all": F.lit("all")}
     ranges = [K.merge_steps(stored.withColumn("label", c), "label") for c in labels.values()]
     found = K.estimates(ranges[0].union(ranges[1]).union(ranges[2]))
-    rows = edges.withColumnRenamed("month", "step").select(F.explode(F.array(*labels.values())).alias("label"), "payer", "payee_nation", "amount")
-    exact = rows.groupBy("label").agg(F.count_distinct("payer").alias("payers"), F.count_distinct("payee_nation").alias("nations"))
+    steps = edges.withColumnRenamed("month", "step")
+    label = F.explode(F.array(*labels.values())).alias("label")
+    # what is distinct in a month is sent on for the month's ranges, one kind after the other
+    payers = steps.select("step", "payer").distinct().select(label, "payer").groupBy("label").agg(F.count_distinct("payer").alias("payers"))
+    nations = steps.select("step", "payee_nation").distinct().select(label, "payee_nation").groupBy("label").agg(
+        F.count_distinct("payee_nation").alias("nations"))
+    rows = steps.select(label, "amount")
     value = F.col("weight_quantiles")
     ranks = rows.join(found.select("label", "weight_quantiles"), "label").groupBy("label").agg(*[
         agg for i in range(len(K.QUANTILES)) for agg in (
@@ -518,7 +523,7 @@ def q_step_sketches(spark, sf_dir):
     def near(estimate, true):
         return F.abs(F.col(estimate) - F.col(true)) <= 4 * K.distinct_error() * F.col(true)
 
-    return found.join(exact, "label").join(ranks, "label").select(
+    return found.join(payers, "label").join(nations, "label").join(ranks, "label").select(
         "label", "n_edges", "n_weights", "payers", "nations", near("src_nodes", "payers").alias("payers_kept"),
         near("dst_nodes", "nations").alias("nations_kept"), *[kept.alias(f"quantile{i}_kept") for i, kept in enumerate(ranks_kept)],
     )

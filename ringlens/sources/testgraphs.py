@@ -161,7 +161,8 @@ def customer_transfers(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("s_suppkey").alias("l_suppkey"), F.col("n_nationkey").alias("payee_nation"), F.col("n_regionkey").alias("payee_region"))
     o = load_table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("l_orderkey"), "o_custkey", "o_orderdate")
     li = load_table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_suppkey", "l_extendedprice")
-    return li.join(o, "l_orderkey").join(c, "o_custkey").join(s, "l_suppkey").select(
+    # orders meet their customers first: they are fewer than their lines
+    return li.join(o.join(c, "o_custkey"), "l_orderkey").join(s, "l_suppkey").select(
         F.col("l_orderkey").alias("transfer"), F.col("l_linenumber").alias("line"), F.col("o_custkey").alias("payer"),
         F.col("l_extendedprice").alias("amount"), F.col("o_orderdate").alias("booked"), "payer_nation", "payee_nation", "payer_region", "payee_region",
     )

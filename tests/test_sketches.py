@@ -66,3 +66,16 @@ def test_the_check_can_fail():
     rnd = random.Random(1)
     values = [rnd.random() for _ in range(2000)]
     assert _rank_off(values, sorted(values)[1100], 0.5) > 2 * K.rank_error()
+
+
+def test_the_check_joins_the_tables_once(spark):
+    """Exact counts and ranks come from the written transfers, distinct payers from what is distinct in a month."""
+    from conftest import SF001
+    from ringlens.plans import catalog
+
+    out = catalog.q_step_sketches(spark, SF001)
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert "l_orderkey" not in plan and "o_custkey" not in plan
+    assert "Expand" not in plan
+    rows = out.collect()
+    assert rows and all(r[c] for r in rows for c in out.columns if c.endswith("_kept"))
