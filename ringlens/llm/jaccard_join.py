@@ -5,9 +5,10 @@ Two sets of sizes a and b reach a Jaccard similarity of p percent only if they d
 ``(100 - p) (a + b) / (100 + p)`` tokens, and their overlap is at most the sum of the smaller counts per group.
 
 * Root of the index: axis-aligned cells. Within a size class the fine groups are dealt into more blocks than tokens
-  that two linked documents may differ in, so at least one block of both points is equal in every coordinate. Each
-  document goes to the cell (class, block, coordinates in it) of its blocks with two tokens or more; a document whose blocks
-  are mostly smaller goes to all its cells. Linked documents therefore share a cell, always.
+  that two linked documents may differ in, so the spare blocks at least are equal in every coordinate. A cell is (class, block,
+  coordinates in it). Cells have one order, more tokens first; each document goes to its first cells, one more than tokens may
+  differ. Of the equal blocks one is then among the first of both: linked documents share a cell, always, and blocks
+  that are empty in many documents gather nobody.
 * Equal sets are one node from the start: copies never meet in a cell.
 * In a cell, each node is first compared with the smallest node and with the one before it (a star and a chain, two pairs
   per member). Cells whose members are then still in different components are searched with packed trees: boxes of points
@@ -36,7 +37,7 @@ LEAF = 16  # points in a box
 KNOWN = 8  # smallest cells of a node that tell whether a pair has met in an earlier cell
 BLOCK = 2048  # members of a cell that one task compares; larger cells are dealt out as pairs of blocks
 CLASS_RATIO = 1.5
-SPARE = 1.15  # blocks per token that may differ
+SPARE = 1.4  # blocks per token that may differ; so many that a set has fewer empty blocks than it may leave out
 
 _MULTIPLIERS = np.array(
     [0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F], np.uint64
@@ -157,10 +158,9 @@ def cells(tok: np.ndarray, classes: SizeClasses) -> np.ndarray:
         some = np.flatnonzero(count)
         starts = np.concatenate([[0], np.cumsum(count[some])[:-1]])
         content[some] = np.add.reduceat(value, starts)
-        heavy = np.flatnonzero(count >= 2)
-        if blocks - len(heavy) >= blocks - differ:
-            heavy = np.arange(blocks)
-        out.append(mix(content[heavy] * _MULTIPLIERS[0] + heavy.astype(np.uint64) * _MULTIPLIERS[3] + np.uint64(c + 1)))
+        name = mix(content * _MULTIPLIERS[0] + np.arange(blocks, dtype=np.uint64) * _MULTIPLIERS[3] + np.uint64(c + 1))
+        # equal blocks have equal counts and names, so this order is the same for all sets
+        out.append(name[np.lexsort((name, -count))[: differ + 1]])
     return np.concatenate(out).view(np.int64) if out else np.empty(0, np.int64)
 
 
@@ -430,16 +430,19 @@ def open_pairs(placed: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
         if held:
             yield from search(pa.Table.from_batches(held))
 
+    first = placed.groupBy("node").agg(F.slice(F.sort_array(F.collect_list("cell")), 1, KNOWN).alias("cells"))
+    carried = sets.join(first, "node").select(
+        "node", "point",
+        # a list of longs as bytes, filled up with the largest long
+        F.unhex(F.array_join(F.transform(
+            F.sequence(F.lit(0), F.lit(KNOWN - 1)),
+            lambda i: F.lpad(F.hex(F.coalesce(F.get("cells", i), F.lit((1 << 63) - 1))), 16, "0")), "")).alias("known"),
+    )
     dealt = (
         placed.withColumn("block", F.expr("cast(pmod(xxhash64(node, 7), blocks) as int)"))
         .withColumn("with", F.explode(F.expr("sequence(0, blocks - 1)")))
         .select("cell", F.least("block", "with").alias("low"), F.greatest("block", "with").alias("high"), "block", "node", "component")
-        .join(sets.select("node", "point"), "node")
-        .join(placed.groupBy("node").agg(F.slice(F.sort_array(F.collect_list("cell")), 1, KNOWN).alias("cells")), "node")
-        # a list of longs as bytes, filled up with the largest long
-        .withColumn("known", F.unhex(F.array_join(F.transform(
-            F.sequence(F.lit(0), F.lit(KNOWN - 1)),
-            lambda i: F.lpad(F.hex(F.coalesce(F.get("cells", i), F.lit((1 << 63) - 1))), 16, "0")), "")))
+        .join(carried, "node")
     )
     found = dealt.repartition("cell", "low", "high").sortWithinPartitions("cell", "low", "high")
     return found.select("cell", "low", "high", "block", "node", "component", "point", "known").mapInArrow(run, "u long, v long").distinct()

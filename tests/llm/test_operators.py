@@ -96,6 +96,19 @@ def test_cells_are_shared_by_every_linked_pair():
                 assert len(np.intersect1d(jaccard_join.cells(a, classes), jaccard_join.cells(b, classes))) > 0
 
 
+@pytest.mark.parametrize("percent", [80, 85])
+def test_unrelated_sets_share_hardly_a_cell(percent):
+    """Blocks that are empty in many sets gather nobody, so the rows of cells grow with the sets and not with their pairs."""
+    rng = np.random.default_rng(4)
+    classes = jaccard_join.SizeClasses(percent)
+    for n in (60, 211, 252, 315, 1000, 4000):
+        found = [jaccard_join.cells(np.sort(rng.integers(0, 1 << 64, n, dtype=np.uint64)), classes) for _ in range(40)]
+        names = np.concatenate(found)
+        assert len(names) - len(np.unique(names)) <= len(names) // 50, n
+        assert all(len(f) == sum(differ + 1 for _, _, differ in classes.of(n)) for f in found)
+
+
+
 def test_tree_finds_what_the_bound_allows():
     rnd = np.random.default_rng(1)
     pts = rnd.integers(0, 5, (150, jaccard_join.GROUPS)).astype(np.int32)
