@@ -15,15 +15,19 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ringlens.llm import language_id, pii
-from ringlens.llm.common import broadcast_checked, fresh, only_columns
+from ringlens.llm.common import broadcast_checked, fresh, only_columns, small_batches
 from ringlens.llm.jaccard_join import jaccard_components
 from ringlens.llm.mixing import mix
 from ringlens.llm.sentencepiece_codec import encode
 from ringlens.plans.runtime import materialize
 
+# Executors and Python workers live through all stages and keep what they once took, so batches are smaller than those of a single operator.
+BATCH_BYTES = 1 << 20
+
 
 def languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language is not rejected: they have letters and are near a learned language."""
+    docs = small_batches(docs, BATCH_BYTES)
     model = language_id.fit(only_columns(docs, doc_id="doc_id", text="text", lang="lang"))
     judged = language_id.identify(docs, model, out_col=(name := fresh(docs, "language")))
     return judged.filter(~F.col(f"{name}.rejected")).select(*docs.columns)
@@ -31,6 +35,7 @@ def languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies, the one with the smallest id."""
+    docs = small_batches(docs, BATCH_BYTES)
     found = materialize(jaccard_components(docs, width=5, percent=80).select("doc_id", "component_id"), "groups")
     gone = found.groupBy("doc_id").agg(
         F.min(F.when(F.col("doc_id").eqNullSafe(F.col("component_id")), 0).otherwise(1)).alias("out"), F.count(F.lit(1)).alias("rows")
@@ -48,6 +53,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def privacy(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, personal data replaced by its kind in brackets."""
+    docs = small_batches(docs, BATCH_BYTES)
     trees = pii.fit(docs.select("text"))
     found = pii.find_pii(docs, trees, out_col=(name := fresh(docs, "pii")))
     text = F.col(f"{name}.redacted")
@@ -62,7 +68,7 @@ def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with their piece ids instead of the text."""
-    coded = encode(docs, ids_col="token_ids")
+    coded = encode(small_batches(docs, BATCH_BYTES), ids_col="token_ids")
     return coded.withColumn("n_tokens", F.coalesce(F.size("token_ids"), F.lit(0)).cast("long")).drop("text")
 
 

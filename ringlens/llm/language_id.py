@@ -13,7 +13,6 @@ from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -76,6 +75,12 @@ def length_bin(counts: np.ndarray) -> np.ndarray:
     return np.minimum(np.log2(counts.sum(1) + 1).astype(np.int64), BINS - 1)
 
 
+def _mean(v: np.ndarray, of: np.ndarray, wide: int = 1024) -> np.ndarray:
+    """The mean of some rows of ``v``, of which only ``wide`` columns are copied at once."""
+    rows = np.flatnonzero(of)
+    return np.concatenate([v[:, i : i + wide][rows].mean(0) for i in range(0, v.shape[1], wide)])
+
+
 def _cluster(v: np.ndarray, k: int, rounds: int = 12) -> np.ndarray:
     """Spherical k-means; the first centre is the mean direction, each further one the vector farthest from all."""
     centres = [v.mean(0)]
@@ -86,10 +91,34 @@ def _cluster(v: np.ndarray, k: int, rounds: int = 12) -> np.ndarray:
     for _ in range(rounds):
         c /= np.maximum(np.linalg.norm(c, axis=1, keepdims=True), 1e-12)
         nearest = np.argmax(v @ c.T, axis=1)
-        c = np.stack([v[nearest == j].mean(0) if (nearest == j).any() else c[j] for j in range(len(c))])
+        c = np.stack([_mean(v, nearest == j) if (nearest == j).any() else c[j] for j in range(len(c))])
     return c / np.maximum(np.linalg.norm(c, axis=1, keepdims=True), 1e-12)
 
 
+def centroids(texts: list[str], idf: np.ndarray, clusters: int) -> tuple[np.ndarray, np.ndarray]:
+    """The centroids of a language's texts and the least cosine by length; none without a text that has letters.
+
+    The vectors, the largest thing by far, are held once: chunks of texts are weighted one by one and written into one array."""
+    v, lengths, n = np.empty((len(texts), DIM), np.float32), [np.empty(0, np.int64)], 0
+    for counts, has in features(texts):
+        counts = counts[has]
+        v[n : n + len(counts)] = vectors(counts, idf)
+        lengths.append(length_bin(counts))
+        n += len(counts)
+    v, lengths, least = v[:n], np.concatenate(lengths), np.zeros(BINS)
+    if not n:
+        return v, least
+    c = _cluster(v, clusters)
+    own = (v @ c.T).max(1)
+    for k in range(BINS):
+        if (lengths == k).sum() >= 20:
+            least[k] = SLACK * np.quantile(own[lengths == k], 0.01)
+    known_bins = np.flatnonzero(least)
+    if len(known_bins):  # longer texts are at least as close as the longest labelled ones
+        least[known_bins[-1] :] = least[known_bins[-1]]
+    return c, least
+
+
 class Model:
     """Centroids, their languages, the idf weights and the least cosine by language and length."""
 
@@ -142,25 +171,13 @@ def fit(docs: DataFrame, sample: int = SAMPLE, clusters: int = CLUSTERS) -> Mode
     by_place[[r["place"] for r in seen]] = [r["n"] for r in seen]
     idf = np.log((1.0 + by_place[DIM]) / (1.0 + by_place[:DIM])).astype(np.float32) + np.float32(1.0)
 
-    def centres(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
-        texts = sorted(set(rows["text"].dropna()))
-        found = [(c[h], h) for c, h in features(texts)]
-        counts = np.concatenate([c for c, _ in found]) if found else np.zeros((0, DIM), np.float32)
-        if not len(counts):
-            return pd.DataFrame({"lang": [], "centroid": [], "least": []})
-        v = vectors(counts, idf)
-        c = _cluster(v, clusters)
-        own, lengths = (v @ c.T).max(1), length_bin(counts)
-        least = np.zeros(BINS)
-        for k in range(BINS):
-            if (lengths == k).sum() >= 20:
-                least[k] = SLACK * np.quantile(own[lengths == k], 0.01)
-        known_bins = np.flatnonzero(least)
-        if len(known_bins):  # longer texts are at least as close as the longest labelled ones
-            least[known_bins[-1] :] = least[known_bins[-1]]
-        return pd.DataFrame({"lang": [key[0]] * len(c), "centroid": [x.tobytes() for x in c], "least": [least.tobytes()] * len(c)})
-
-    rows = picked.groupBy("lang").applyInPandas(centres, "lang string, centroid binary, least binary").collect()
+    def centres(key: tuple, rows: pa.Table) -> pa.Table:
+        c, least = centroids(sorted(set(rows.column("text").drop_null().to_pylist())), idf, clusters)
+        lang = pa.array([key[0].as_py()] * len(c), pa.string())
+        columns = [lang, pa.array([x.tobytes() for x in c], pa.binary()), pa.array([least.tobytes()] * len(c), pa.binary())]
+        return pa.table(columns, ["lang", "centroid", "least"])
+
+    rows = picked.groupBy("lang").applyInArrow(centres, "lang string, centroid binary, least binary").collect()
     rows = sorted(rows, key=lambda r: (r["lang"], bytes(r["centroid"])))
     languages = sorted({r["lang"] for r in rows})
     if not rows:

@@ -146,6 +146,35 @@ def test_language_id_odd_rows(spark):
     assert language_id.language_id(docs.limit(0)).count() == 0
 
 
+def test_centroids_hold_the_vectors_once():
+    import tracemalloc
+
+    rng = np.random.default_rng(3)
+    words = ["".join(map(chr, rng.integers(97, 123, rng.integers(2, 9)))) for _ in range(400)]
+    texts = [" ".join(rng.choice(words[100 * (i % 3) : 100 * (i % 3) + 200], 60)) for i in range(600)] + ["12", ""]
+    idf = rng.uniform(1, 5, language_id.DIM).astype(np.float32)
+    found = [(c[h], h) for c, h in language_id.features(texts)]
+    v = language_id.vectors(np.concatenate([c for c, _ in found]), idf)
+    del found
+
+    def peak(run):
+        tracemalloc.start()
+        out = run()
+        most = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        return out, most
+
+    centres, most = peak(lambda: language_id._cluster(v, 3))
+    assert most < 0.3 * v.nbytes
+    again, most = peak(lambda: language_id.centroids(texts, idf, 3)[0])
+    assert most < v.nbytes + (24 << 20)
+    assert again.tobytes() == centres.tobytes()
+    nearest = np.argmax(v @ centres.T, axis=1)
+    for j in range(3):
+        assert language_id._mean(v, nearest == j).tobytes() == v[nearest == j].mean(0).tobytes()
+    assert not len(language_id.centroids(["", "12"], idf, 3)[0])
+
+
 # ---------------------------------------------------------------- op 3
 
 

@@ -42,3 +42,17 @@ def test_pipeline(spark):
     assert coded.count() == mixed.count() > 0 and "token_ids" in coded.columns
     empty = [stage(spark, spark.read.parquet(f"{SF}/documents.parquet").limit(0), SF).count() for _, stage in corpus_pipeline.STAGES]
     assert empty == [0] * 5
+
+
+def test_stages_with_python_send_small_batches(spark):
+    import corpus_pipeline
+
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before, docs = spark.conf.get(name), spark.read.parquet(f"{SF}/documents.parquet").limit(0)
+    try:
+        for stage in (corpus_pipeline.languages, corpus_pipeline.near_duplicates, corpus_pipeline.privacy, corpus_pipeline.encoding):
+            spark.conf.set(name, str(64 << 20))
+            stage(spark, docs, SF)
+            assert int(spark.conf.get(name)) <= 1 << 20
+    finally:
+        spark.conf.set(name, before)
