@@ -37,7 +37,7 @@ class ClusterConfig:
     pic_max_iter: int = 40
     pic_init_mode: str = "random"
     # Edge partitions of MLlib's clustering. Its random start is drawn per partition, so this number is part of the result.
-    # Some 4 million edges a partition suit an executor core; it is never derived from the input or the cluster.
+    # It is never derived from the input or the cluster. MLlib gets graphs of up to operators.pic.MLLIB_EDGES edges a partition.
     pic_partitions: int = 16
     fraud_score_threshold: float = 0.35
     micro_cluster_max_size: int = 2000

@@ -25,7 +25,7 @@ def _uniform(*parts: Column) -> Column:
     return (F.pmod(h, F.lit(2**53)).cast(T.DoubleType()) + F.lit(0.5)) / F.lit(_TWO_53)
 
 
-def _normal(seed: int, *parts: Column) -> Column:
+def hashed_normal(seed: int, *parts: Column) -> Column:
     """Standard normal by Box-Muller from two hashed uniforms."""
     u1 = _uniform(F.lit(seed), F.lit(1), *parts)
     u2 = _uniform(F.lit(seed), F.lit(2), *parts)
@@ -63,7 +63,7 @@ def plant_rings(spark: SparkSession, rings, seed: int = 42) -> DataFrame:
     """``src, dst long, weight double, true_label string`` for all ring pairs; weights normal(mean, std),
     rounded to 2 and floored at 1.0."""
     pairs = ring_pairs(ring_table(spark, rings))
-    z = _normal(seed, F.col("ring"), F.col("src"), F.col("dst"))
+    z = hashed_normal(seed, F.col("ring"), F.col("src"), F.col("dst"))
     w = F.greatest(F.round(F.col("weight_mean") + F.col("weight_std") * z, 2), F.lit(1.0))
     return pairs.select("src", "dst", w.alias("weight"), ring_label(F.col("ring")).alias("true_label"))
 
@@ -76,7 +76,7 @@ def background_edges(spark: SparkSession, cfg: GeneratorConfig | None = None) ->
     n = F.lit(cfg.n_normal_nodes)
     src = (F.floor(_uniform(F.lit(cfg.seed), F.lit(10), F.col("id")) * n) + F.lit(1)).cast(T.LongType())
     dst = (F.floor(_uniform(F.lit(cfg.seed), F.lit(11), F.col("id")) * n) + F.lit(1)).cast(T.LongType())
-    z = _normal(cfg.seed, F.lit(12), F.col("id"))
+    z = hashed_normal(cfg.seed, F.lit(12), F.col("id"))
     w = F.greatest(
         F.round(F.exp(F.lit(cfg.background_log_mean) + F.lit(cfg.background_log_sigma) * z), 2), F.lit(1.0)
     )
