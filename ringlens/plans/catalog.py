@@ -337,26 +337,30 @@ def q_cluster_matching(spark, sf_dir):
 # ---- streams ------------------------------------------------------------------------------------------------
 
 LATENESS = "5 days"
+WINDOWS = {"source_col": "payer", "destination_col": "depot", "weight_col": "amount", "label_col": "status", "time_col": "booked", "lateness": LATENESS}
 
 
 def _deliver(spark, sf_dir, start):
-    """The transfers delivered one after the other to a stream, each delivery run to its end by ``start(edges, out, checkpoint)``; returns the
-    stream of windowed edges and the output path."""
+    """The transfers delivered one after the other to a stream, each delivery run to its end by ``start(stream, out, checkpoint)``; returns the
+    stream and the output path."""
     feed = materialize(G.delivered_transfers(spark, sf_dir), "feed")
     inbox, out, checkpoint = (scratch_path(spark, name) for name in ("inbox", "windows", "windows-checkpoint"))
-    edges = None
+    stream = None
     for delivery in range(len(G.DELIVERY_ENDS) + 1):
         feed.filter(F.col("delivery") == delivery).drop("delivery").write.mode("append").parquet(inbox)
         stream = spark.readStream.schema(feed.drop("delivery").schema).parquet(inbox)
-        edges = sliding.sliding_edges(stream, "payer", "depot", "amount", "status", "booked", lateness=LATENESS)
-        start(edges, out, checkpoint).awaitTermination()
-    return edges, out
+        start(stream, out, checkpoint).awaitTermination()
+    return stream, out
 
 
 def q_sliding_graph(spark, sf_dir):
     """The edges of all closed 7-day windows, one a day, from a stream with late and repeated deliveries."""
-    edges, out = _deliver(spark, sf_dir, sliding.start_sliding_graph)
-    return _rd(sliding.read_sliding_graph(spark, edges, out), volume=4)
+
+    def start(stream, out, checkpoint):
+        return sliding.start_sliding_graph(sliding.sliding_edges(stream, **WINDOWS), out, checkpoint)
+
+    stream, out = _deliver(spark, sf_dir, start)
+    return _rd(sliding.read_sliding_graph(spark, sliding.sliding_edges(stream, **WINDOWS), out), volume=4)
 
 
 WINDOW_K = 3
@@ -370,8 +374,8 @@ def _window_clusters(edges):
 def q_reclustered_windows(spark, sf_dir):
     """Embedding and cluster of the nodes of the newest closed window after each delivery, from the published tables."""
 
-    def start(edges, out, checkpoint):
-        return recluster.start_reclustering(edges, _window_clusters, out, checkpoint)
+    def start(stream, out, checkpoint):
+        return recluster.start_reclustering(stream, _window_clusters, out, checkpoint, windows=WINDOWS)
 
     _, out = _deliver(spark, sf_dir, start)
     return _rd(recluster.read_published(spark, out, "nodes").select("window_end", "node_key", "v", "cluster"), v=9)

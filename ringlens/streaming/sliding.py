@@ -38,6 +38,23 @@ def _epoch() -> Column:
     return F.lit("1970-01-01 00:00:00").cast(T.TimestampNTZType())
 
 
+def require_timestamp(rows: DataFrame, time_col: str) -> T.DataType:
+    kind = rows.schema["time"].dataType
+    if not isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
+        raise ValueError(f"time column {time_col} must be a timestamp")
+    return kind
+
+
+def micros(span: str) -> Column:
+    """A span of days or less as microseconds."""
+    return F.timestamp_diff("MICROSECOND", _epoch(), _epoch() + F.expr(f"INTERVAL '{span}'"))
+
+
+def instant_micros(col: Column, kind: T.DataType) -> Column:
+    """A time of type ``kind`` as microseconds since 1970 in UTC."""
+    return F.unix_micros(_instant(col, kind))
+
+
 def sliding_edges(
     raw_stream: DataFrame,
     source_col: str = "src",
@@ -55,9 +72,7 @@ def sliding_edges(
     UTC, and the windows' ends are without zone then. Windows begin at whole multiples of ``slide`` since 1970 in UTC.
     """
     rows = select_edge_roles(raw_stream, source_col, destination_col, weight_col, label_col, time_col).filter("time is not null")
-    kind = rows.schema["time"].dataType
-    if not isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
-        raise ValueError(f"time column {time_col} must be a timestamp")
+    kind = require_timestamp(rows, time_col)
     rows = rows.withColumn("time", _instant(F.col("time"), kind))
     if rows.isStreaming:
         rows = rows.withWatermark("time", lateness).dropDuplicatesWithinWatermark(TRANSFER_KEY)

@@ -165,3 +165,87 @@ def test_newest_window(spark):
     assert sorted(map(tuple, got["nodes"].collect())) == [(_at(1), "n9", 0.5), (_at(1), "n9", 1.0)]
     assert sorted(map(tuple, got["all"].collect())) == [(_at(1), 0, 2), (_at(1), 1, 2)]
     assert recluster.cluster_newest_window(edges.limit(0), lambda e: 1 / 0) == {}
+
+
+ROLES = {"source_col": "payer", "destination_col": "payee", "weight_col": "amount", "label_col": "label", "time_col": "booked"}
+
+
+def _recluster(spark, base, deliveries, clusterer, windowed=False, schema=SCHEMA, **windows):
+    """Deliver and recluster, from a stream of transfers or of windowed edges; the rows of the published table ``pairs``."""
+    for rows in deliveries:
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(f"{base}/in")
+        stream = spark.readStream.schema(schema).parquet(f"{base}/in")
+        if windowed:
+            query = recluster.start_reclustering(sliding.sliding_edges(stream, **ROLES, **windows), clusterer, f"{base}/out", f"{base}/check")
+        else:
+            query = recluster.start_reclustering(stream, clusterer, f"{base}/out", f"{base}/check", windows=ROLES | windows)
+        query.awaitTermination(300)
+    found = recluster.read_published(spark, f"{base}/out", "pairs")
+    return [] if found is None else [tuple(r) for r in found.drop("batch").collect()]
+
+
+def _pairs(edges):
+    return {"pairs": edges.select(F.col("src").alias("id"), "dst", "weight", "true_label")}
+
+
+MORE_DELIVERIES = [
+    # nothing closes; a loop's window has no edge; the newest closed window ends after the last transfer in it; no rows, or only late ones
+    [[("a", "b", 5.0, _at(0), "x")], [("a", "b", 6.0, _at(0.75), None), ("a", "b", 6.0, _at(0.75), None)], [("c", "c", 1.0, _at(11), "x")]],
+    [[("a", "b", 5.0, _at(0.1), "x"), ("a", "d", 2.0, _at(4), "x"), ("e", "f", 1.0, _at(9.2), "y")], [("a", "b", 1.0, _at(1), "x")], [("z", "y", 1.0, _at(40.5), "y")]],
+    [[("a", None, 1.0, _at(50), "x"), ("c", "d", 1.0, None, "x")], [("a", "b", 1.0, _at(0), "x"), ("b", "c", 3.0, _at(20), "x")], [("d", "a", 2.0, _at(19), "x"), ("b", "c", 3.0, _at(20), "x"), ("q", "r", 4.0, _at(30), "y")]],
+]
+
+
+@pytest.mark.parametrize("deliveries", [DELIVERIES, *MORE_DELIVERIES])
+@pytest.mark.parametrize("windows", [{}, {"lateness": "36 hours", "window": "3 days", "slide": "12 hours"}])
+def test_transfers_give_the_windows_of_a_windowed_stream(spark, deliveries, windows):
+    bases = [tempfile.mkdtemp(prefix="ringlens-transfers-", dir="/tmp") for _ in range(2)]
+    want, got = (_recluster(spark, base, deliveries, _pairs, windowed, **windows) for base, windowed in zip(bases, (True, False), strict=True))
+    assert sorted(got, key=str) == sorted(want, key=str)
+    assert want or deliveries is MORE_DELIVERIES[0]
+    closes, late = None, 0
+    for rows in deliveries:
+        late += sum(1 for r in rows if r[3] and r[0] and r[1] and closes and r[3] <= closes)
+        newest = max([r[3] for r in rows if r[3] and r[0] and r[1]], default=None)
+        reach = newest and newest - (dt.timedelta(hours=36) if windows else dt.timedelta(days=1))
+        closes = max(filter(None, (closes, reach)), default=None)
+    assert recluster.read_published(spark, f"{bases[1]}/out", "progress").agg(F.sum("n_late")).first()[0] == late
+
+
+def test_reclustering_transfers_keeps_no_state_of_closed_windows(spark):
+    base = tempfile.mkdtemp(prefix="ringlens-transfers-", dir="/tmp")
+    schema = SCHEMA.replace("timestamp", "timestamp_ntz")
+    days = [[(f"p{i}", f"q{i % 5}", 1.0 + i, _at(200 * d + i), "x") for i in range(200)] for d in range(3)]
+    got = _recluster(spark, base, [d for one in days for d in (one, one)], _pairs, schema=schema)
+    stream = spark.readStream.schema(schema).parquet(f"{base}/in")
+    # each delivery's newest closed window, once: its newest transfer is of day 199 at midnight, a day late, so that the window ends on day 198
+    assert sorted({r[0] for r in got}) == [_at(200 * d + 198) for d in range(3)] and len(got) == 21
+    batches = recluster.published_batches(spark, f"{base}/out")
+    assert len(batches) == 6 and spark.read.parquet(f"{base}/out/batch={batches[-1]}/open").count() == 8
+    assert recluster.read_published(spark, f"{base}/out", "open").count() == 8  # those of the batches before are gone
+    with pytest.raises(ValueError):
+        recluster.start_reclustering(stream.withColumn("booked", F.lit("2024")), _pairs, f"{base}/out3", f"{base}/check3", windows=ROLES)
+    query = recluster.start_reclustering(stream, _pairs, f"{base}/out2", f"{base}/check2", windows=ROLES)
+    query.awaitTermination(300)
+    assert query.recentProgress and all(not p["stateOperators"] for p in query.recentProgress)
+
+
+def test_a_failed_batch_of_transfers_runs_again(spark):
+    base = tempfile.mkdtemp(prefix="ringlens-transfers-", dir="/tmp")
+    calls = []
+
+    def clusterer(edges):
+        calls.append(1)
+        if len(calls) == 2:
+            raise RuntimeError("lost")
+        return _pairs(edges)
+
+    want = _recluster(spark, tempfile.mkdtemp(prefix="ringlens-transfers-", dir="/tmp"), DELIVERIES, _pairs)
+    with pytest.raises(Exception, match="lost"):
+        _recluster(spark, base, DELIVERIES, clusterer)
+    done = len(recluster.published_batches(spark, f"{base}/out"))
+    assert 0 < done < len(DELIVERIES)
+    stream = spark.readStream.schema(SCHEMA).parquet(f"{base}/in")
+    recluster.start_reclustering(stream, clusterer, f"{base}/out", f"{base}/check", windows=ROLES).awaitTermination(300)
+    got = _recluster(spark, base, DELIVERIES[done + 1:] or [[]], clusterer)
+    assert sorted(got, key=str) == sorted(want, key=str)
